@@ -32,12 +32,14 @@ class Lanes:
 
     short: DataFrame | None
     long: DataFrame | None
+    names: DataFrame | None = None  # keys of the long series, fewer than MAX_LONG
 
     def map(self, short: Callable, long: Callable | None = None) -> Lanes:
         long = long or short
         return Lanes(
             None if self.short is None else short(self.short),
             None if self.long is None else long(self.long),
+            self.names,
         )
 
     def union(self) -> DataFrame:
@@ -63,7 +65,7 @@ def cut_by_length(df: DataFrame, spec: SeriesSpec, long_rows: int) -> Lanes:
     names = sizes.where(F.col("n") > limit).select(*spec.keys)
     long_keys = F.broadcast(df.sparkSession.createDataFrame(names.collect(), names.schema))
     on = list(spec.keys)
-    return Lanes(df.join(long_keys, on, "left_anti"), df.join(long_keys, on, "left_semi"))
+    return Lanes(df.join(long_keys, on, "left_anti"), df.join(long_keys, on, "left_semi"), long_keys)
 
 
 def _range_edges(df: DataFrame, number, ranges: int) -> list[float]:

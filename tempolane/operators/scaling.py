@@ -87,7 +87,7 @@ def attach_scalers(
 
     def short(rows: DataFrame) -> DataFrame:
         if scalers is not None:
-            return rows.join(scalers, keys) if keys else constant(rows, scalers)
+            return rows.join(scalers, keys, "left") if keys else constant(rows, scalers)
         series = Window.partitionBy(*keys)
         return rows.withColumns({name: c.over(series) for name, c in found.items()})
 
@@ -96,9 +96,8 @@ def attach_scalers(
         if not keys:
             return constant(rows, table)
         if scalers is not None:
-            names = F.broadcast(rows.select(*keys).distinct())
-            table = scalers.join(names, keys, "left_semi")
-        return rows.join(F.broadcast(table), keys)
+            table = scalers.join(lanes.names, keys, "left_semi")
+        return rows.join(F.broadcast(table), keys, "left")
 
     return lanes.map(short, long)
 
