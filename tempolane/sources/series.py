@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +17,11 @@ SERIES = "_series"
 def read_series(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Numeric CSV with a header; the line order is the time order.
 
-    Adds `_line`, which increases along a file (and is unique in it), as order
-    column. With more than one file, `one_per_file` makes each file a series,
+    Adds `_line` as order column: it is unique and increases along the lines,
+    and from file to file in the order of their names, so that a long series can
+    be a folder of parts. With `one_per_file`, each file is a series of its own,
     named in `_series`. Types come from the header alone, without a pass over
-    the data; text that is no number, or a different header, stops the job."""
+    the data; text that is no number, or another header, stops the job."""
     names = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in names])
     df = (
@@ -30,17 +31,24 @@ def read_series(spark: SparkSession, path: str, one_per_file: bool = False) -> D
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    if not one_per_file and len(df.inputFiles()) > 1:
-        raise ValueError("lines of several files have no order: use one_per_file=True")
     # A split starts at a byte offset and holds fewer rows than bytes, so the
     # offset plus the row number within the split sorts the whole file.
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = df.select(
+    lines = df.select(
         *[df[f"`{name}`"] for name in names],
+        F.col("_metadata.file_path").alias(SERIES),
         (F.col("_metadata.file_block_start") + row).alias(LINE),
-        *([F.col("_metadata.file_path").alias(SERIES)] if one_per_file else []),
     )
-    return placed
+    if one_per_file:
+        return lines
+    # One row per file; its sizes come from the listing, not from its content.
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias(SERIES), F.col("_metadata.file_size").alias("size")
+    )
+    earlier = Window.orderBy(SERIES).rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(SERIES, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("_tl_start"))
+    joined = lines.join(starts, SERIES)
+    return joined.select(*[joined[f"`{name}`"] for name in names], (F.col("_tl_start") + F.col(LINE)).alias(LINE))
 
 
 def series_spec(df: DataFrame, targets=()) -> SeriesSpec:
