@@ -23,7 +23,7 @@ def unscale(x: Column, lo: Column, hi: Column) -> Column:
     return x * (hi - lo) + lo
 
 
-def required(name: str, kind: T.DataType) -> Column:
+def required(name: str) -> Column:
     """The value as a double; a missing one stops the job."""
     value = F.col(name).cast("double")
     return F.when(

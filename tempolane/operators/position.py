@@ -11,61 +11,106 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempolane.config import SeriesSpec
-from tempolane.functions.columns import order_number, range_index, required
+from tempolane.config import ForecastConfig, SeriesSpec
+from tempolane.functions.columns import order_number, plan_error, range_index, required
 
 # Upper bound on how many series can count as long: the limit is raised to
 # (all rows / MAX_LONG) if needed, so the table of their keys is always small
 # enough to broadcast, whatever the data.
-MAX_LONG = 20_000
+MAX_LONG = 10_000
 _SALTS = 64
+# Rows a task should get where the layout is fixed, and most tasks of a shuffle.
+TASK_ROWS = 4_000_000
+MAX_TASKS = 50_000
 
 
 @dataclass(frozen=True)
 class Lanes:
     """One table, cut by series length. In `short`, a series fits into one task.
-    A series in `long` never has to. Either may be absent."""
+    A series in `long` never has to; their keys are in `names`. `middle` is empty
+    unless the series are so many that not all long ones can be named: its series
+    are laid out whole, but worked on in pieces. Each lane may be absent."""
 
     short: DataFrame | None
     long: DataFrame | None
-    names: DataFrame | None = None  # keys of the long series, fewer than MAX_LONG
+    names: DataFrame | None = None  # fewer than MAX_LONG rows
+    middle: DataFrame | None = None
 
-    def map(self, short: Callable, long: Callable | None = None) -> Lanes:
+    def map(self, short: Callable, long: Callable | None = None, middle: Callable | None = None) -> Lanes:
         long = long or short
         return Lanes(
             None if self.short is None else short(self.short),
             None if self.long is None else long(self.long),
             self.names,
+            None if self.middle is None else (middle or long)(self.middle),
         )
 
     def union(self) -> DataFrame:
-        parts = [p for p in (self.short, self.long) if p is not None]
+        parts = [p for p in (self.short, self.middle, self.long) if p is not None]
         return functools.reduce(DataFrame.unionByName, parts)
 
 
-def cut_by_length(df: DataFrame, spec: SeriesSpec, long_rows: int) -> Lanes:
-    """Split the series at `long_rows`. Reads the key columns once."""
+class Sizes(NamedTuple):
+    """What is known about all series of a table."""
+
+    top: int  # rows of the longest
+    total: int  # rows of all
+    error: str | None  # why one cannot be modelled, if asked for
+
+    @property
+    def limit(self) -> int:
+        """Least length above which at most MAX_LONG series can lie."""
+        return -(-self.total // MAX_LONG)
+
+    def tasks(self, spark: SparkSession) -> int:
+        """Tasks for steps that compute more than they read. Fixed, because
+        merging partitions by their small size would leave executors idle, and
+        growing with the data."""
+        least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        return max(least, min(MAX_TASKS, -(-self.total // TASK_ROWS)))
+
+
+def _lengths(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    return df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def measure(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig | None = None) -> Sizes:
+    """One job over the key columns. With `cfg`, also looks for a series that
+    the split plan does not fit."""
     spec.check(df.schema)
-    sizes = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
     nameless = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys], F.lit(False))
-    top, total, bad = sizes.agg(F.max("n"), F.sum("n"), F.max(nameless)).first()
+    error = plan_error(F.col("n"), cfg) if cfg else F.lit(None).cast("string")
+    told = F.concat_ws(" ", F.to_json(F.struct(*spec.keys)) if spec.keys else F.lit("series"), error)
+    top, total, bad, first = (
+        _lengths(df, spec)
+        .agg(F.max("n"), F.sum("n"), F.max(nameless), F.min(F.when(error.isNotNull(), told)))
+        .first()
+    )
     if bad:
         raise ValueError(f"null in the key columns {list(spec.keys)}: fill or filter these rows first")
-    limit = max(long_rows, -(-(total or 0) // MAX_LONG))
-    if top is None or top <= limit:
-        return Lanes(df, None)
+    return Sizes(top or 0, total or 0, first)
+
+
+def cut_by_length(df: DataFrame, spec: SeriesSpec, long_rows: int, sizes: Sizes) -> tuple[Lanes, int]:
+    """The lanes, and the number of rows in the long one."""
+    limit = max(long_rows, sizes.limit)
+    if sizes.top <= limit:
+        return Lanes(df, None), 0
     if not spec.keys:
-        return Lanes(None, df)
+        return Lanes(None, df), sizes.total
     # Fewer than MAX_LONG rows, see above; taken out of the plan so that each
     # use does not count the series again.
-    names = sizes.where(F.col("n") > limit).select(*spec.keys)
-    long_keys = F.broadcast(df.sparkSession.createDataFrame(names.collect(), names.schema))
+    found = _lengths(df, spec).where(F.col("n") > limit).select(*spec.keys, "n").collect()
+    schema = df.select(*spec.keys).schema
+    names = F.broadcast(df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], schema))
     on = list(spec.keys)
-    return Lanes(df.join(long_keys, on, "left_anti"), df.join(long_keys, on, "left_semi"), long_keys)
+    lanes = Lanes(df.join(names, on, "left_anti"), df.join(names, on, "left_semi"), names)
+    return lanes, sum(r["n"] for r in found)
 
 
 def _range_edges(df: DataFrame, number, ranges: int) -> list[float]:
@@ -94,10 +139,8 @@ def _number_short(df: DataFrame, spec: SeriesSpec, partitions: int | None) -> Da
     ).withColumn("n", F.count(F.lit(1)).over(series))
 
 
-def _number_long(df: DataFrame, spec: SeriesSpec, long_rows: int) -> DataFrame:
+def _number_long(df: DataFrame, spec: SeriesSpec, ranges: int) -> DataFrame:
     number = order_number(spec.order[0], df.schema[spec.order[0]].dataType)
-    rows = df.count()
-    ranges = min(MAX_LONG, max(2, -(-rows // long_rows)))
     edges = _range_edges(df, number, ranges)
     cut = df.withColumn("_tl_range", range_index(number, edges))
     place = [*spec.keys, "_tl_range"]
@@ -118,22 +161,26 @@ def _number_long(df: DataFrame, spec: SeriesSpec, long_rows: int) -> DataFrame:
 
 
 def position_lanes(
-    df: DataFrame, spec: SeriesSpec, long_rows: int, partitions: int | None = None
+    df: DataFrame,
+    spec: SeriesSpec,
+    long_rows: int,
+    sizes: Sizes | None = None,
+    partitions: int | None = None,
 ) -> Lanes:
     """Lanes of (keys, pos, n, values): `pos` counts a series from 0, oldest
     first, and `n` is its length. The order must be unique within a series.
 
-    `partitions` fixes the layout of the short lane for steps that compute more
-    than they read, which would otherwise be merged into few tasks."""
+    `partitions` fixes the layout of the short lane."""
 
     def shape(part: DataFrame) -> DataFrame:
-        return part.select(*spec.keys, "pos", "n", *[required(v, part.schema[v].dataType) for v in spec.values])
+        return part.select(*spec.keys, "pos", "n", *[required(v) for v in spec.values])
 
-    columns = dict.fromkeys((*spec.keys, *spec.order, *spec.values))
-    lanes = cut_by_length(df.select(*columns), spec, long_rows)
+    df = df.select(*dict.fromkeys((*spec.keys, *spec.order, *spec.values)))
+    sizes = sizes or measure(df, spec)
+    lanes, rows = cut_by_length(df, spec, long_rows, sizes)
+    ranges = min(MAX_LONG, max(2, -(-rows // long_rows)))
     return lanes.map(
-        lambda d: shape(_number_short(d, spec, partitions)),
-        lambda d: shape(_number_long(d, spec, long_rows)),
+        lambda d: shape(_number_short(d, spec, partitions)), lambda d: shape(_number_long(d, spec, ranges))
     )
 
 

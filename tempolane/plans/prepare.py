@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempolane.config import ForecastConfig, SeriesSpec
-from tempolane.operators.plan import require_valid, with_plan
-from tempolane.operators.position import Lanes, position_lanes
+from tempolane.operators.plan import SeriesError, with_plan
+from tempolane.operators.position import Lanes, measure, position_lanes
 from tempolane.operators.scaling import attach_scalers, scaled_columns, scaler_struct
 from tempolane.operators.windows import into_blocks
 
 PLACE = ("pos", "lost", "n_train", "n_test")
 
 
-def task_count(spark: SparkSession) -> int:
-    """Tasks for steps that compute much more than they read. Fixed, because
-    merging partitions by their small size would leave executors idle."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+class Prepared(NamedTuple):
+    lanes: Lanes
+    tasks: int  # for steps that fix their own layout
 
 
 def prepare(
@@ -26,24 +27,30 @@ def prepare(
     cfg: ForecastConfig,
     on_error: str = "raise",
     scalers: DataFrame | None = None,
-) -> Lanes:
+) -> Prepared:
     """Lanes of (keys, pos, lost, n_train, n_test, xs, ys, scaler): the scaled
     row as input and as label, oldest lost rows left out.
 
     One shuffle for short series: numbering, sizes and ranges share its layout.
     `on_error="skip"` leaves out series that fail `validate`."""
-    if on_error == "raise":
-        require_valid(df, spec, cfg)
-    elif on_error != "skip":
+    if on_error not in ("raise", "skip"):
         raise ValueError(f"on_error must be 'raise' or 'skip', got {on_error!r}")
-    lanes = position_lanes(df, spec, cfg.long_rows, task_count(df.sparkSession))
-    lanes = lanes.map(lambda rows: with_plan(rows, cfg))
+    sizes = measure(df, spec, cfg)
+    if sizes.error and on_error == "raise":
+        raise SeriesError(sizes.error)
+    tasks = sizes.tasks(df.sparkSession)
+    lanes = position_lanes(df, spec, cfg.long_rows, sizes, tasks).map(lambda rows: with_plan(rows, cfg))
     xs, ys = scaled_columns(spec)
-    return attach_scalers(lanes, spec, cfg, scalers).map(
+    scaled = attach_scalers(lanes, spec, cfg, scalers).map(
         lambda rows: rows.select(
-            *spec.keys, *PLACE, xs.alias("xs"), ys.alias("ys"), scaler_struct(spec).alias("scaler")
+            *spec.keys, "n", *PLACE, xs.alias("xs"), ys.alias("ys"), scaler_struct(spec).alias("scaler")
         )
     )
+    if scaled.short is not None and min(sizes.top, sizes.limit) > cfg.long_rows:
+        # Too many long series to name them all: the others are known by `n`.
+        whole = F.col("n") <= cfg.long_rows
+        scaled = Lanes(scaled.short.where(whole), scaled.long, scaled.names, scaled.short.where(~whole))
+    return Prepared(scaled.map(lambda rows: rows.drop("n")), tasks)
 
 
 def row_in_plan() -> Column:
@@ -63,7 +70,7 @@ def pieces(
     reach: int,
     used: Column,
     count: Column,
-    spread: bool = True,
+    tasks: int | None,
 ) -> DataFrame:
     """Records of at most `examples` consecutive examples, with all their rows:
     (keys, piece, lost, n_train, n_test, xs, ys, scaler), rows flattened into
@@ -71,14 +78,14 @@ def pieces(
     `reach` rows, so that it can be worked on alone, wherever it runs. `used`
     selects the rows and `count` is the number of examples that are needed.
 
-    `spread` lays out pieces freely over the tasks; otherwise they keep to the
-    layout of their series."""
+    Pieces are laid out freely over `tasks`, or keep to the layout of their
+    series if there is no such number."""
     keys = list(spec.keys)
     cut = into_blocks(rows.where(used), row_in_plan(), examples, reach, "piece").where(
         F.col("piece") * examples < count
     )
-    if spread:
-        cut = cut.repartition(task_count(rows.sparkSession), *keys, "piece")
+    if tasks:
+        cut = cut.repartition(tasks, *keys, "piece")
     # Groups of at most examples + reach rows.
     return (
         cut.groupBy(*keys, "piece")

@@ -77,17 +77,21 @@ def _stored_scalers(models: DataFrame, spec: SeriesSpec) -> DataFrame:
     return unpack_scalers(models, spec)
 
 
-def _attach(lanes: Lanes, parameters, spec: SeriesSpec) -> Lanes:
-    """Add `params` to the rows. In the short lane by a join on the layout the
-    rows already have; the few long series get theirs broadcast."""
-    if isinstance(parameters, list):
-        return lanes.map(lambda rows: rows.withColumn("params", F.lit(parameters)))
+def _joins(lanes: Lanes, parameters, spec: SeriesSpec):
+    """Two ways to add `params`: by a join on the layout the rows of a lane
+    already have, or, for the few named series, by a broadcast."""
     keys = list(spec.keys)
+    if isinstance(parameters, list):
+        same = lambda rows: rows.withColumn("params", F.lit(parameters))
+        return same, same
 
-    def long(rows: DataFrame) -> DataFrame:
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.join(parameters, keys, "left")
+
+    def named(rows: DataFrame) -> DataFrame:
         return rows.join(F.broadcast(parameters.join(lanes.names, keys, "left_semi")), keys, "left")
 
-    return lanes.map(lambda rows: rows.join(parameters, keys, "left"), long)
+    return plain, named
 
 
 def _theta(first: pa.RecordBatch, keys: tuple[str, ...]) -> list[float]:
@@ -228,8 +232,9 @@ def _report_pieces(
             yield _head_rows(cfg, schema, [batch.column(k) for k in keys], told, found)
 
 
-def _heads_long(lanes: Lanes, parameters, spec: SeriesSpec, cfg: ForecastConfig, warm: bool, size: int) -> DataFrame:
-    rows = lanes.long
+def _heads_long(
+    rows: DataFrame, attach, spec: SeriesSpec, cfg: ForecastConfig, warm: bool, size: int, tasks: int
+) -> DataFrame:
     spark, keys = rows.sparkSession, list(spec.keys)
     place = [*keys, "piece"]
     heads = F.col("n_train") + F.col("n_test")
@@ -238,12 +243,12 @@ def _heads_long(lanes: Lanes, parameters, spec: SeriesSpec, cfg: ForecastConfig,
         used &= row_in_plan() >= div(F.col("n_train"), size) * size * cfg.batch
     cut = pieces(
         rows, spec, size * cfg.batch, cfg.window - cfg.batch if cfg.window > cfg.batch else 0, used,
-        heads * cfg.batch,
+        heads * cfg.batch, tasks,
     )
     if not warm:
         cut = cut.where((F.col("piece") + 1) * size > F.col("n_train"))
     base = new_path(spark, "chain")
-    cut = settled(_attach(Lanes(None, cut, lanes.names), parameters, spec).long.drop("ys"), f"{base}/pieces")
+    cut = settled(attach(cut).drop("ys"), f"{base}/pieces")
     net = cell.net_for(cfg, len(spec.values), len(spec.targets))
     chain_schema = _schema(rows, spec, CHAIN)
     work = functools.partial(_chain_pieces, cfg, net, spec.keys, to_arrow_schema(chain_schema), warm, size)
@@ -284,11 +289,13 @@ def score_heads(
     stored with the models instead of those of the current training part."""
     parameters = _model_parameters(models, spec, cfg)
     scalers = None if refit_scaler else _stored_scalers(models, spec)
-    lanes = prepare(df, spec, cfg, on_error, scalers)
-    return lanes.map(
-        lambda rows: _heads_short(_attach(Lanes(rows, None), parameters, spec).short, spec, cfg, warm),
-        lambda rows: _heads_long(lanes, parameters, spec, cfg, warm, piece_batches),
-    ).union()
+    lanes, tasks = prepare(df, spec, cfg, on_error, scalers)
+
+    def pieced(attach):
+        return lambda rows: _heads_long(rows, attach, spec, cfg, warm, piece_batches, tasks)
+
+    plain, named = _joins(lanes, parameters, spec)
+    return lanes.map(lambda rows: _heads_short(plain(rows), spec, cfg, warm), pieced(named), pieced(plain)).union()
 
 
 # --- all examples, without state --------------------------------------------------
@@ -340,15 +347,18 @@ def score_windows(
     first_piece = div(train, piece_examples) if tested else F.lit(0)
     used = (row_in_plan() < count + cfg.window - 1) & (row_in_plan() >= first_piece * piece_examples)
 
-    def cut(rows: DataFrame, spread: bool) -> DataFrame:
+    lanes, tasks = prepare(df, spec, cfg, on_error, scalers)
+
+    def cut(rows: DataFrame, spread: int | None) -> DataFrame:
         parts = pieces(rows, spec, piece_examples, cfg.window - 1, used, count, spread)
         return parts.where(F.col("piece") >= first_piece)
 
-    lanes = prepare(df, spec, cfg, on_error, scalers).map(lambda r: cut(r, False), lambda r: cut(r, True))
+    lanes = lanes.map(lambda rows: cut(rows, None), lambda rows: cut(rows, tasks))
     net = cell.net_for(cfg, len(spec.values), len(spec.targets))
     schema = _schema(df, spec, SCORES)
     work = functools.partial(_score_pieces, cfg, net, spec.keys, to_arrow_schema(schema), tested, last_only, piece_examples)
-    return _attach(lanes, parameters, spec).map(lambda rows: rows.mapInArrow(work, schema)).union()
+    plain, named = _joins(lanes, parameters, spec)
+    return lanes.map(plain, named, plain).map(lambda rows: rows.mapInArrow(work, schema)).union()
 
 
 # --- results ----------------------------------------------------------------------

@@ -28,6 +28,7 @@ from tempolane.functions import cell
 
 from tempolane.functions.columns import plan_columns, plan_error
 from tempolane.functions.stream import alike, field, key_columns, packs, stack, whole_series
+from tempolane.operators.position import Lanes
 from tempolane.plans.prepare import (
     first_row_of,
     in_series_order,
@@ -35,7 +36,6 @@ from tempolane.plans.prepare import (
     pieces,
     prepare,
     row_in_plan,
-    task_count,
 )
 from tempolane.sources.shared import new_path, settled
 
@@ -169,12 +169,14 @@ def train_per_series(
 
     Lazy for short series. Series above `cfg.long_rows` are trained at once, by
     averaging over their pieces (see `train_pooled`)."""
-    lanes = prepare(df, spec, cfg, on_error)
-    models = lanes.map(
-        lambda rows: _train_short(rows, spec, cfg),
-        lambda rows: _train_rounds(rows, spec, cfg, spec.keys, 1).models,
-    )
-    return _describe(models.union(), spec, cfg, model_id)
+    lanes, tasks = prepare(df, spec, cfg, on_error)
+    models = []
+    if lanes.short is not None:
+        models.append(_train_short(lanes.short, spec, cfg))
+    if lanes.long is not None or lanes.middle is not None:
+        rows = Lanes(None, lanes.long, middle=lanes.middle).union()
+        models.append(_train_rounds(rows, spec, cfg, spec.keys, 1, tasks).models)
+    return _describe(functools.reduce(DataFrame.unionByName, models), spec, cfg, model_id)
 
 
 def training_stats(models: DataFrame, run_id: str) -> DataFrame:
@@ -266,14 +268,14 @@ def _average(steps: DataFrame, pool: list[str]) -> DataFrame:
 
 
 def _train_rounds(
-    rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, pool_by: tuple[str, ...], rounds: int
+    rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, pool_by: tuple[str, ...], rounds: int, tasks: int
 ) -> Trained:
     """Parameter averaging over the series of `rows`, one network per pool."""
     spark = rows.sparkSession
     pool = list(pool_by)
     # A piece is what a task trains between two averages.
     each = cfg.averaging_frequency * cfg.batch
-    cut = pieces(rows, spec, each, cfg.window, in_training(cfg), F.col("n_train") * cfg.batch)
+    cut = pieces(rows, spec, each, cfg.window, in_training(cfg), F.col("n_train") * cfg.batch, tasks)
     base = new_path(spark, "training")
     # Written once, sorted by round: a round reads its own pages of each file.
     place = [*spec.keys, "piece"]
@@ -377,13 +379,13 @@ def train_pooled(
     is a job, so prefer `rounds_per_epoch=1` there: tasks then pass over all
     their pieces between two averages. Runs at once; `models` has one row and
     `stats` one per epoch, round and task."""
-    rows = prepare(df, spec, cfg, on_error).union()
+    lanes, tasks = prepare(df, spec, cfg, on_error)
     if rounds_per_epoch is None:
         batches = plan_columns(F.col("n"), cfg)["n_train"]
         each = F.ceil(batches / cfg.averaging_frequency)
         sizes = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
         total = sizes.where(plan_error(F.col("n"), cfg).isNull()).agg(F.sum(each)).first()[0]
-        rounds_per_epoch = max(1, -(-int(total or 0) // task_count(df.sparkSession)))
-    trained = _train_rounds(rows, spec, cfg, (), rounds_per_epoch)
+        rounds_per_epoch = max(1, -(-int(total or 0) // tasks))
+    trained = _train_rounds(lanes.union(), spec, cfg, (), rounds_per_epoch, tasks)
     bare = SeriesSpec(order=spec.order, values=spec.values, targets=spec.targets)
     return Trained(_describe(trained.models, bare, cfg, model_id), trained.stats)
