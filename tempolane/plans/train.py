@@ -359,7 +359,8 @@ def _waves(units: DataFrame, pool: list[str], size: int):
         yield 0, 1, None
         return
     names = units.select(*pool).distinct()
-    waves = max(1, -(-names.count() * size * 16 // PARAMETER_BYTES))
+    count = names.count()
+    waves = max(1, min(count, -(-count * size * 16 // PARAMETER_BYTES)))
     for wave in range(waves):
         yield wave, waves, names.where(F.pmod(F.xxhash64(*pool), F.lit(waves)) == wave)
 
