@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,18 +48,23 @@ def order_number(name: str, kind: T.DataType) -> Column:
     raise ValueError(f"order column {name!r} of type {kind.simpleString()} cannot be cut into ranges")
 
 
-def range_index(x: Column, edges: list[float]) -> Column:
-    """How many of the ascending `edges` are <= x: a binary search, so that the
-    cost per row is the logarithm of their number."""
-    if not edges:
-        return F.lit(0)
-    jumps = [1 << b for b in reversed(range(len(edges).bit_length()))]
-    table, size = F.lit(edges), len(edges)
+def doubles(values: list[float]) -> Column:
+    """A constant array. One text instead of a literal per value keeps plans
+    with thousands of values small; it is folded before the query runs."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
-    def jump(found: Column, by: Column) -> Column:
-        return F.when((found + by <= size) & (F.get(table, found + by - 1) <= x), found + by).otherwise(found)
 
-    return F.aggregate(F.lit(jumps), F.lit(0), jump)
+def with_range(df: DataFrame, x: Column, edges: list[float], name: str) -> DataFrame:
+    """Add how many of the ascending `edges` are <= x. A binary search, one
+    projection per halving: compiled code, at a cost that grows with the
+    logarithm of their number."""
+    table = doubles(edges)
+    df = df.withColumns({"_tl_number": x, name: F.lit(0)})
+    for jump in [1 << b for b in reversed(range(len(edges).bit_length()))]:
+        # Beyond the last edge, `get` is null and the jump is not taken.
+        taken = F.get(table, F.col(name) + (jump - 1)) <= F.col("_tl_number")
+        df = df.withColumn(name, F.col(name) + F.when(taken, jump).otherwise(0))
+    return df.drop("_tl_number")
 
 
 def plan_columns(n: Column, cfg: ForecastConfig) -> dict[str, Column]:

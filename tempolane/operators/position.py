@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempolane.config import ForecastConfig, SeriesSpec
-from tempolane.functions.columns import order_number, plan_error, range_index, required
+from tempolane.functions.columns import doubles, order_number, plan_error, required, with_range
 
 # Upper bound on how many series can count as long: the limit is raised to
 # (all rows / MAX_LONG) if needed, so the table of their keys is always small
@@ -117,7 +117,7 @@ def _range_edges(df: DataFrame, number, ranges: int) -> list[float]:
     """Values that cut the rows into about equal ranges. They steer only the
     balance: positions are exact for any edges. Quantiles of salted groups
     first, so that no single task merges the sketches of all partitions."""
-    shares = [k / ranges for k in range(1, ranges)]
+    shares = doubles([k / ranges for k in range(1, ranges)])
     accuracy = 4 * ranges
     row = (
         df.select(number.alias("v"))
@@ -142,7 +142,7 @@ def _number_short(df: DataFrame, spec: SeriesSpec, partitions: int | None) -> Da
 def _number_long(df: DataFrame, spec: SeriesSpec, ranges: int) -> DataFrame:
     number = order_number(spec.order[0], df.schema[spec.order[0]].dataType)
     edges = _range_edges(df, number, ranges)
-    cut = df.withColumn("_tl_range", range_index(number, edges))
+    cut = with_range(df, number, edges, "_tl_range")
     place = [*spec.keys, "_tl_range"]
     counts = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_tl_rows"))
     # At most `ranges` rows per series from here.

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempolane import ForecastConfig, SeriesSpec
-from tempolane.functions.columns import order_number, range_index
+from tempolane.functions.columns import order_number, with_range
 from tempolane.operators import heads, overlay, plan, position, scaling, select, windows
 from tests.series_data import SPEC, frame, plan as plan_of, scaled, spark_frame
 
@@ -63,7 +63,7 @@ def test_no_long_group_reaches_one_task(spark):
     number = order_number("at", df.schema["at"].dataType)
     edges = position._range_edges(df.where("name = 'hot'"), number, 20)
     sizes = (
-        df.where("name = 'hot'").groupBy(range_index(number, edges).alias("r")).count().agg(F.max("count")).first()[0]
+        with_range(df.where("name = 'hot'"), number, edges, "r").groupBy("r").count().agg(F.max("count")).first()[0]
     )
     assert sizes < 200
 
@@ -76,10 +76,10 @@ def test_number_of_named_series_is_bounded(spark, monkeypatch):
     assert rows_of(lanes.union(), "name", "pos") == rows_of(position.with_position(df, SPEC), "name", "pos")
 
 
-def test_range_index_is_a_count_of_edges(spark):
-    edges = [1.0, 2.5, 2.75, 9.0, 11.0]
-    got = spark.range(-2, 14).select((F.col("id") * 1.0).alias("v")).select("v", range_index(F.col("v"), edges).alias("r"))
-    for v, r in got.collect():
+@pytest.mark.parametrize("edges", [[], [3.0], [1.0, 2.5, 2.75, 9.0, 11.0], [float(k) for k in range(8)]])
+def test_range_is_a_count_of_edges(spark, edges):
+    numbers = spark.range(-2, 14).select((F.col("id") * 1.0).alias("v"))
+    for v, r in with_range(numbers, F.col("v"), edges, "r").collect():
         assert r == sum(e <= v for e in edges)
 
 
