@@ -15,7 +15,7 @@ from tempolane.operators import heads, overlay, plan, position, scaling, select,
 from tempolane.plans import score, train
 from tempolane.plans.job import forecast_job
 from tempolane.sources import series, store
-from tempolane.sources.shared import new_path, settled
+from tempolane.sources.shared import new_path, send_package, settled
 
 SMALL = ForecastConfig(window=8, batch=8, test_ratio=0.2, steps=5)
 MIXED = ForecastConfig(window=8, batch=8, test_ratio=0.3, steps=5)
@@ -33,6 +33,7 @@ USER = SeriesSpec(keys="sid", order="ts", values="amount")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

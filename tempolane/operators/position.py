@@ -24,8 +24,10 @@ from tempolane.functions.columns import doubles, order_number, plan_error, requi
 # enough to broadcast, whatever the data.
 MAX_LONG = 10_000
 _SALTS = 64
-# Rows a task should get where the layout is fixed, and most tasks of a shuffle.
-TASK_ROWS = 4_000_000
+# Where the layout is fixed: most rows a task should get, rows that are worth a
+# task of their own, and most tasks of a shuffle.
+TASK_ROWS = 500_000
+WORTH_ROWS = 50_000
 MAX_TASKS = 50_000
 
 
@@ -71,8 +73,12 @@ class Sizes(NamedTuple):
         """Tasks for steps that compute more than they read. Fixed, because
         merging partitions by their small size would leave executors idle, and
         growing with the data."""
-        least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        return max(least, min(MAX_TASKS, -(-self.total // TASK_ROWS)))
+        asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(
+            spark.sparkContext.defaultParallelism,
+            min(asked, self.total // WORTH_ROWS),
+            min(MAX_TASKS, -(-self.total // TASK_ROWS)),
+        )
 
 
 def _lengths(df: DataFrame, spec: SeriesSpec) -> DataFrame:

@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Make this package known to the workers of a session it was not submitted
+    with. Once per application; not needed with `--py-files` or an installation."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = pathlib.Path(__file__).resolve().parent.parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="tempolane-")) / "tempolane"
+    # Only the copy is made here; Spark serves it to the executors.
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _sent.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`, or the checkpoint folder set
     on the context. A local session without either gets a temporary one."""

@@ -68,13 +68,10 @@ def test_each_series_trains_as_if_alone(spark, df, change):
         assert (r.inputs, r.targets) == (["a", "b"], ["a", "b"])
 
 
-def test_training_does_not_depend_on_the_layout(spark, df, models):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "13")
-    try:
-        other = {r.name: r.params for r in train.train_per_series(df.repartition(3), SPEC, CFG).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_training_does_not_depend_on_the_layout(spark, df, models, monkeypatch):
+    monkeypatch.setattr(position, "TASK_ROWS", 48)
+    assert position.measure(df, SPEC).tasks(spark) == 13
+    other = {r.name: r.params for r in train.train_per_series(df.repartition(3), SPEC, CFG).collect()}
     assert other == {r.name: r.params for r in models.collect()}
 
 
