@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tempolane.llm import mixing, sentencepieces, tokenfiles, urlrules, warc
+from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, quality, sentencepieces, tokenfiles, urlrules, warc
 from tempolane.sources.shared import new_path, send_package
 
 
@@ -37,17 +37,83 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs, rules).drop("text")
+
+
+def op6_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashforest.nearest(_table(spark, sf_dir, "embeddings"), "id % 100 = 0")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs)
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.link(_table(spark, sf_dir, "documents"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).drop("blocks")
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
-    "op1_sentencepiece": op1_sentencepiece,
-    "op2_warc": op2_warc,
-    "op3_token_files": op3_token_files,
-    "op4_mixing": op4_mixing,
-    "op9_url_rules": op9_url_rules,
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_warc, op3_token_files, op4_mixing, op5_quality, op6_hash_forest, op7_line_dedup,
+        op8_ngram_join, op9_url_rules, op10_licenses,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_TEXT = "coalesce(text, '')"
+_ROOT = """split_part(split_part(split_part(substr(url, strpos(url, '://') + 3), '/', 1), '?', 1), '#', 1)"""
+
+
+def _patterns_sql(url: str) -> str:
+    whens = " ".join(f"WHEN regexp_matches({url}, '{p}') THEN '{v}'" for p, _, v in urlrules.PATTERN_RULES)
+    return f"CASE {whens} ELSE 'allow' END"
+
+
+def _rules_sql() -> str:
+    rows = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urlrules.BASE_RULES)
+    return f"(VALUES {rows}) AS r(h, p, v)"
+
+
+_URL_SQL = f"""WITH parts AS (SELECT page_id, url,
+  CASE WHEN strpos(url, '://') > 0 THEN lower({_ROOT}) ELSE '' END AS host,
+  CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+hits AS (SELECT page_id, h || p AS rule, v,
+  row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC) AS nth
+  FROM parts JOIN {_rules_sql()} ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT parts.page_id, host, path, rule, coalesce(v, {_patterns_sql("lower(coalesce(url, ''))")}) AS verdict
+FROM parts LEFT JOIN hits ON parts.page_id = hits.page_id AND nth = 1"""
+
+_WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+  max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND last > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND last > page_id THEN last END AS refers_to FROM d"""
+
+_NGRAM_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id,
+  regexp_extract_all(translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT walk.a, links.b FROM walk JOIN links ON walk.b = links.a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, m.component_id FROM s
+JOIN (SELECT a, min(b) AS component_id FROM walk GROUP BY a) m ON s.doc_id = m.a"""
+
+ORACLES = {"op2_warc": _WARC_SQL, "op8_ngram_join": _NGRAM_SQL, "op9_url_rules": _URL_SQL}
