@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -17,6 +18,16 @@ from tempolane.plans.job import forecast_job
 from tempolane.sources import series, store
 from tempolane.sources.shared import new_path, send_package, settled
 
+# The corpus operators are a part that may be absent.
+if importlib.util.find_spec("tempolane.llm"):
+    import corpus_pipeline
+    from tempolane.llm import queries as corpus
+
+    CORPUS = {**corpus.QUERIES, "pipeline": corpus_pipeline.run}
+    CORPUS_SQL = corpus.ORACLES
+else:
+    CORPUS, CORPUS_SQL = {}, {}
+
 SMALL = ForecastConfig(window=8, batch=8, test_ratio=0.2, steps=5)
 MIXED = ForecastConfig(window=8, batch=8, test_ratio=0.3, steps=5)
 USERS = ForecastConfig(window=8, batch=4, test_ratio=0.2, steps=5)
@@ -388,6 +399,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_fit_fixed_cold": partial(_check_fixed, False, FIXED.long_rows),
         "forecast_fixed": _forecast_fixed,
         "aligned_fit_fixed": _aligned_fixed,
+        **CORPUS,
     }
 
 
@@ -643,4 +655,5 @@ SELECT sid, i, step, pos, max(value) FILTER (target = 'total') AS total,
         "mse": f"""WITH {_SHIP_SQL}, {_heads_sql('ship_pos', SHIP, SMALL)}
 SELECT k.sid, k.target, round(avg((c.value - k.value) * (c.value - k.value)), 2) AS mse
 FROM check_rows k JOIN cells c ON c.sid = k.sid AND c.pos = k.pos AND c.variable = k.target GROUP BY 1, 2""",
+        **CORPUS_SQL,
     }
