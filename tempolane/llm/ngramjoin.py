@@ -1,8 +1,8 @@
 """Exact self-join of documents on the Jaccard similarity of their word n-grams.
 
 1. Equal sets are one node.
-2. Documents that share none of their smallest hashes (a prefix in order of hash)
-   with another have no partner; the others are candidates.
+2. Of the smallest hashes of a set (a prefix in order of hash) a partner lacks few;
+   documents that share fewer with all others have no partner, the rest are candidates.
 3. Of candidates all shingles are counted. With rarest first, two partners share a
    shingle of their prefixes; documents that do so, also through others, are a group.
 4. In a group each document asks the inverted lists of those before it for overlaps
@@ -30,6 +30,7 @@ from tempolane.sources.shared import new_path, settled
 WORDS = 5
 PERCENT = 75
 BLOCK = 4096
+LONG = 40  # percent of a set, smallest hashes first, that candidates are found by
 SENT_NODES = 2_000_000  # candidates whose numbers may be sent to all tasks; beyond, a join
 
 _rng = np.random.default_rng(20240501)
@@ -109,6 +110,11 @@ def _prefix(n, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
+def _long_prefix(n, percent: int):
+    """A longer prefix, of which a partner has more than one n-gram."""
+    return np.maximum(_prefix(n, percent), -(-n * LONG // 100))
+
+
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
@@ -136,29 +142,40 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     nodes = keep(light.filter("n > 0").groupBy("node", "other").agg(F.min("key").alias("id"), F.first("n").alias("n")), "nodes")
 
     def prefixes(batches):
-        """A row per n-gram and slice of texts, and one per text that shares an n-gram
-        with another of the slice: what is common is not sent for each text."""
+        """Rows (token, node, shared): an n-gram that one text of the slice has among
+        its first ones; one that several have, without a node; and for a text how many
+        of its n-grams others of the slice have. So what is common is sent once a slice."""
         for _, grams, counts, (one, _) in rows_of(batches):
             _, first = np.unique(one, return_index=True)
             chosen = np.zeros(len(counts), dtype=bool)
             chosen[first] = True
-            most = np.where(chosen & (counts > 0), _prefix(counts, percent), 0)
+            most = np.where(chosen & (counts > 0), _long_prefix(counts, percent), 0)
             starts = np.cumsum(counts) - counts
             doc = np.repeat(np.arange(len(counts)), most)
             at = np.arange(len(doc)) - np.repeat(np.cumsum(most) - most, most) + starts[doc]
-            tokens = grams[at].view(np.int64)
-            _, index, back, n = np.unique(tokens, return_index=True, return_inverse=True, return_counts=True)
-            shared = np.unique(one[doc[n[back] > 1]])
+            tokens, index, back, n = np.unique(grams[at].view(np.int64), return_index=True, return_inverse=True, return_counts=True)
+            local = np.bincount(doc[n[back] > 1], minlength=len(counts))
+            some = np.flatnonzero(local)
+            blank, zeros = np.zeros(len(some), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(tokens[index], shared)), pa.array(np.append(one[doc[index]], shared)), pa.array(np.append(np.zeros(len(index), bool), np.ones(len(shared), bool)))],
-                ["token", "node", "sure"],
+                [
+                    pa.array(np.append(tokens, blank), mask=np.append(zeros, blank + 1) > 0),
+                    pa.array(np.append(one[doc[index]], one[some]), mask=np.append(n > 1, blank > 0)),
+                    pa.array(np.append(zeros, local[some])),
+                ],
+                ["token", "node", "shared"],
             )
 
-    tokens = source.mapInArrow(prefixes, "token long, node long, sure boolean")
-    times = F.count(F.lit(1)).over(Window.partitionBy("token", "sure"))
+    tokens = source.mapInArrow(prefixes, "token long, node long, shared long")
+    times = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    met = tokens.filter("token IS NOT NULL").select("token", "node").withColumn("times", times).filter("times > 1 AND node IS NOT NULL")
+    met = met.select("node", F.lit(1).cast("long").alias("shared")).union(tokens.filter("token IS NULL").select("node", "shared"))
+    met = met.groupBy("node").agg(F.sum("shared").alias("shared"))
+    # A partner lacks at most n - ceil(percent * n / 100) n-grams of a set, wherever they stand.
+    lacks = F.expr(f"n - (n * {percent} + 99) div 100")
     wanted = keep(
-        tokens.withColumn("times", times).filter("sure OR times > 1").select("node").distinct()
-        .join(nodes.select("node", "id", F.col("n").alias("size")), "node"), "candidates",
+        met.join(nodes.select(F.col("node").alias("k"), "n").dropDuplicates(["k"]), F.col("node") == F.col("k"))
+        .filter(F.col("shared") >= F.greatest(lacks + 1, F.expr(f"(n * {LONG} + 99) div 100")) - lacks).select("node"), "candidates",
     )
     sets = keep(_sets_of(source, light, wanted, rows_of), "candidate_sets")
 
@@ -203,7 +220,7 @@ def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) ->
         chosen = source
     else:
         sent = None
-        keys = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).filter("key <=> id").select(F.col("key").alias("kk")).distinct()
+        keys = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).select(F.col("key").alias("kk")).distinct()
         chosen = source.join(keys, F.col("key").eqNullSafe(F.col("kk")), "left_semi")
 
     def sets(batches):
