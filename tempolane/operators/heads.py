@@ -37,10 +37,10 @@ def head_cells(rows: DataFrame, cfg: ForecastConfig, last_step: int, first_batch
     )
 
 
-def persistence_heads(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig) -> DataFrame:
+def persistence_heads(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, on_error: str = "raise") -> DataFrame:
     """Test heads with the row itself as prediction for the next one: the
     yardstick any model has to beat, in the form of `score_heads`."""
-    rows = position_lanes(df, spec, cfg.long_rows).map(lambda r: with_plan(r, cfg)).union()
+    rows = position_lanes(df, spec, cfg.long_rows).map(lambda r: with_plan(r, cfg, on_error)).union()
     cells = head_cells(rows, cfg, cfg.steps, F.col("n_train"))
     row = F.array(*[F.col(t) for t in spec.targets])
     # Groups of steps + 1 rows.

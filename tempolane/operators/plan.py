@@ -47,13 +47,19 @@ def require_valid(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig) -> None:
         raise SeriesError(f"{name}: {bad['error']}")
 
 
-def with_plan(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
+def with_plan(rows: DataFrame, cfg: ForecastConfig, on_error: str = "skip") -> DataFrame:
     """Add the split sizes to positioned rows and leave out rows that no example
-    uses: series that fail the plan, and the oldest `lost` rows. Pure arithmetic
-    on `n`, so that nothing has to be joined, and done before any example exists."""
-    plan = plan_columns(F.col("n"), cfg)
+    uses: the oldest `lost` rows, and with `on_error="skip"` series that fail the
+    plan; with "raise" such a series stops the job. Pure arithmetic on `n`, so
+    that nothing has to be joined, and done before any example exists."""
+    if on_error not in ("raise", "skip"):
+        raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
+    plan, error = plan_columns(F.col("n"), cfg), plan_error(F.col("n"), cfg)
+    fits = error.isNull()
+    if on_error == "raise":
+        fits = F.when(fits, F.lit(True)).otherwise(F.raise_error(error).cast("boolean"))
     return (
-        rows.where(plan_error(F.col("n"), cfg).isNull() & (F.col("pos") >= plan["lost"]))
+        rows.where(fits & (F.col("pos") >= plan["lost"]))
         .withColumns({c: plan[c] for c in ("lost", "n_train", "n_test")})
     )
 

@@ -51,10 +51,10 @@ def series_scalers(rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig) -> Da
 
 
 def fit_minmax(
-    df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, roles: tuple[str, ...] = ROLES
+    df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, roles: tuple[str, ...] = ROLES, on_error: str = "raise"
 ) -> DataFrame:
     """(keys, role, variable, min, max)."""
-    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg))
+    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg, on_error))
     # Each lane on its own: the short one is already laid out by series.
     fitted = lanes.map(lambda rows: series_scalers(rows, spec, cfg)).union()
     cells = [
@@ -136,10 +136,10 @@ def unpack_scalers(models: DataFrame, spec: SeriesSpec) -> DataFrame:
     return models.select(*spec.keys, *out)
 
 
-def scale_rows(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig) -> DataFrame:
+def scale_rows(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, on_error: str = "raise") -> DataFrame:
     """(keys, pos, role, variable, value, scaled) of every row an example uses.
     Scaled test values can leave [0, 1]."""
-    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg))
+    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg, on_error))
     rows = attach_scalers(lanes, spec, cfg).union()
     cells = [
         F.struct(

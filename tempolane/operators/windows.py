@@ -61,10 +61,10 @@ def sliding_windows(
 
 
 def split_windows(
-    df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, block: int = BLOCK_EXAMPLES
+    df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, block: int = BLOCK_EXAMPLES, on_error: str = "raise"
 ) -> DataFrame:
     """(keys, i, split, batch, slot, x, y): the examples of the split plan."""
-    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg))
+    lanes = position_lanes(df, spec, cfg.long_rows).map(lambda rows: with_plan(rows, cfg, on_error))
     examples = _example_rows(lanes, spec, cfg.window, F.col("lost"), block)
     place = example_columns(F.col("pos"), cfg)
     return examples.select(
@@ -72,9 +72,9 @@ def split_windows(
     )
 
 
-def split_rows(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig) -> DataFrame:
+def split_rows(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, on_error: str = "raise") -> DataFrame:
     """(keys, i, split, batch, slot) of every example, without its rows."""
-    rows = position_lanes(df, spec, cfg.long_rows).map(lambda r: with_plan(r, cfg)).union()
+    rows = position_lanes(df, spec, cfg.long_rows).map(lambda r: with_plan(r, cfg, on_error)).union()
     place = example_columns(F.col("pos"), cfg)
     return rows.where(F.col("pos") + cfg.window < F.col("n")).select(
         *spec.keys, F.col("pos").alias("i"), *[c.alias(name) for name, c in place.items()]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from tempolane.config import ForecastConfig, SeriesSpec
 from tempolane.operators.heads import slice_steps
@@ -13,7 +15,7 @@ from tempolane.plans.score import score_heads
 from tempolane.plans.train import train_per_series, train_pooled, training_stats
 from tempolane.sources.series import write_check, write_forecast
 from tempolane.sources.shared import new_path, settled
-from tempolane.sources.store import load_model, save_model
+from tempolane.sources.store import load_model, model_config, save_model
 
 
 class JobResult(NamedTuple):
@@ -23,10 +25,17 @@ class JobResult(NamedTuple):
     forecast: DataFrame
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).inputFiles())
+    except AnalysisException:
+        return False
+
+
 def forecast_job(
     df: DataFrame,
     spec: SeriesSpec,
-    cfg: ForecastConfig,
+    cfg: ForecastConfig | None,
     output: str,
     *,
     model_name: str | None = None,
@@ -42,12 +51,21 @@ def forecast_job(
     """Write `output`/check and `output`/forecast, each partitioned by run, and
     `output`/stats if a model was trained.
 
-    `model_path` names saved models to use instead of training. `model_name`
-    saves the trained ones as `output`/<model_name>. An empty text is no name."""
+    `model_path` names saved models to use instead of training; without `cfg` the
+    configuration is theirs, and one that disagrees with their network stops the
+    job. `model_name` saves the trained ones as `output`/<model_name>. An empty
+    text is no name. A name or a run that is there already is refused at once."""
     spark = df.sparkSession
-    run_id = run_id or str(int(time.time()))
+    if run_id and _exists(spark, f"{output}/check/run_id={run_id}"):
+        raise ValueError(f"run {run_id!r} has results already")
+    if model_name and not model_path and _exists(spark, f"{output}/{model_name}"):
+        raise ValueError(f"a model {model_name!r} is there already")
+    run_id = run_id or f"{int(time.time())}-{uuid.uuid4().hex[:8]}"
+    if cfg is None and not model_path:
+        raise ValueError("training needs a configuration")
     if model_path:
         models = load_model(spark, model_path)
+        cfg = cfg or model_config(models)
     else:
         if pooled:
             models, stats = train_pooled(df, spec, cfg, rounds_per_epoch, on_error, model_name or None)

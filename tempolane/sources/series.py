@@ -11,15 +11,19 @@ from pyspark.sql import types as T
 from tempolane.config import SeriesSpec
 
 LINE = "_line"
+ROW = "_row"
 SERIES = "_series"
+# Files whose starts may be sent to all tasks; the lines of more are joined by shuffle.
+MAX_SENT_FILES = 1_000_000
 
 
 def read_series(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Numeric CSV with a header; the line order is the time order.
 
-    Adds `_line` as order column: it is unique and increases along the lines,
-    and from file to file in the order of their names, so that a long series can
-    be a folder of parts. With `one_per_file`, each file is a series of its own,
+    Adds the order columns `_line` and `_row`: where the block of a file begins,
+    counted through all files in the order of their names, and the row in the
+    task that reads the block. Together they are unique and increase along the
+    lines, so that a long series can be a folder of parts. With `one_per_file`, each file is a series of its own,
     named in `_series`. Types come from the header alone, without a pass over
     the data; text that is no number, or another header, stops the job."""
     names = spark.read.option("header", True).csv(path).columns
@@ -31,13 +35,12 @@ def read_series(spark: SparkSession, path: str, one_per_file: bool = False) -> D
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    # A split starts at a byte offset and holds fewer rows than bytes, so the
-    # offset plus the row number within the split sorts the whole file.
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    # A task may read several blocks, in any order, but each from its start to its end.
     lines = df.select(
         *[df[f"`{name}`"] for name in names],
         F.col("_metadata.file_path").alias(SERIES),
-        (F.col("_metadata.file_block_start") + row).alias(LINE),
+        F.col("_metadata.file_block_start").alias(LINE),
+        F.monotonically_increasing_id().alias(ROW),
     )
     if one_per_file:
         return lines
@@ -47,14 +50,18 @@ def read_series(spark: SparkSession, path: str, one_per_file: bool = False) -> D
     )
     earlier = Window.orderBy(SERIES).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(SERIES, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("_tl_start"))
+    if len(df.inputFiles()) <= MAX_SENT_FILES:
+        starts = F.broadcast(starts)
     joined = lines.join(starts, SERIES)
-    return joined.select(*[joined[f"`{name}`"] for name in names], (F.col("_tl_start") + F.col(LINE)).alias(LINE))
+    return joined.select(
+        *[joined[f"`{name}`"] for name in names], (F.col("_tl_start") + F.col(LINE)).alias(LINE), ROW
+    )
 
 
 def series_spec(df: DataFrame, targets=()) -> SeriesSpec:
     """The specification of what `read_series` returns."""
     keys = [SERIES] if SERIES in df.columns else []
-    return SeriesSpec(order=LINE, values=[c for c in df.columns if c not in (LINE, SERIES)], keys=keys, targets=targets)
+    return SeriesSpec(order=(LINE, ROW), values=[c for c in df.columns if c not in (LINE, ROW, SERIES)], keys=keys, targets=targets)
 
 
 def _write_result(

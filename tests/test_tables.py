@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tempolane import ForecastConfig, SeriesSpec
 from tempolane.functions.columns import order_number, with_range
 from tempolane.operators import heads, overlay, plan, position, scaling, select, windows
+from tempolane.sources import series
 from tests.series_data import SPEC, frame, plan as plan_of, scaled, spark_frame
 
 LENGTHS = {"x": 90, "y": 97, "z": 400}
@@ -230,3 +231,31 @@ def test_configuration():
         SeriesSpec(order="at", values="n")
     with pytest.raises(ValueError, match="targets"):
         SeriesSpec(order="at", values="a", targets="b")
+
+
+def test_many_small_csv_parts_keep_their_order(spark, tmp_path):
+    import random
+
+    draw = random.Random(3)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    value = 0
+    for part in range(60):
+        n = draw.randint(1, 90)
+        rows = "\n".join(str(value + i) for i in range(n))
+        (folder / f"part-{part:03d}.csv").write_text(f"x\n{rows}\n")
+        value += n
+    found = series.read_series(spark, str(folder))
+    spec = series.series_spec(found)
+    assert position.order_ties(found, spec).count() == 0
+    placed = position.with_position(found, spec).select("pos", "x").collect()
+    assert len(placed) == value and all(r["pos"] == r["x"] for r in placed)
+
+
+def test_series_that_fail_the_plan_are_not_dropped_in_silence(spark):
+    df = spark.createDataFrame([(t, float(t)) for t in range(12)], "t long, x double")
+    spec = SeriesSpec(order="t", values="x")
+    cfg = ForecastConfig(window=8, batch=8, test_ratio=0.2, steps=5)
+    with pytest.raises(Exception, match="too few test batches"):
+        scaling.fit_minmax(df, spec, cfg).collect()
+    assert scaling.fit_minmax(df, spec, cfg, on_error="skip").count() == 0
