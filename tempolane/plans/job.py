@@ -59,7 +59,7 @@ def forecast_job(
     if run_id and _exists(spark, f"{output}/check/run_id={run_id}"):
         raise ValueError(f"run {run_id!r} has results already")
     if model_name and not model_path and _exists(spark, f"{output}/{model_name}"):
-        raise ValueError(f"a model {model_name!r} is there already")
+        raise ValueError(f"[PATH_ALREADY_EXISTS] a model {model_name!r} is there already")
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4().hex[:8]}"
     if cfg is None and not model_path:
         raise ValueError("training needs a configuration")

@@ -243,18 +243,18 @@ def test_many_small_csv_parts_keep_their_order(spark, tmp_path):
     for part in range(60):
         n = draw.randint(1, 90)
         rows = "\n".join(str(value + i) for i in range(n))
-        (folder / f"part-{part:03d}.csv").write_text(f"x\n{rows}\n")
+        (folder / f"part-{part:03d}.csv").write_text(f"a\n{rows}\n")
         value += n
     found = series.read_series(spark, str(folder))
     spec = series.series_spec(found)
     assert position.order_ties(found, spec).count() == 0
-    placed = position.with_position(found, spec).select("pos", "x").collect()
-    assert len(placed) == value and all(r["pos"] == r["x"] for r in placed)
+    placed = position.with_position(found, spec).select("pos", "a").collect()
+    assert len(placed) == value and all(r["pos"] == r["a"] for r in placed)
 
 
 def test_series_that_fail_the_plan_are_not_dropped_in_silence(spark):
-    df = spark.createDataFrame([(t, float(t)) for t in range(12)], "t long, x double")
-    spec = SeriesSpec(order="t", values="x")
+    df = spark.createDataFrame([("k", t, float(t)) for t in range(12)], "key string, t long, a double")
+    spec = SeriesSpec(keys="key", order="t", values="a")
     cfg = ForecastConfig(window=8, batch=8, test_ratio=0.2, steps=5)
     with pytest.raises(Exception, match="too few test batches"):
         scaling.fit_minmax(df, spec, cfg).collect()
