@@ -65,6 +65,10 @@ def word_counts(docs: DataFrame, text: str, vocabulary: Sequence[str]) -> dict[s
     return {r["w"]: r["count"] for r in docs.select(F.explode(own).alias("w")).groupBy("w").count().collect()}
 
 
+def _stands(words: Column, wanted: Column, n: int):
+    return lambda i: F.slice(words, i + 1, n) == wanted
+
+
 def scan(docs: DataFrame, text: str = "text", phrases=PHRASES, templates=TEMPLATES, contained: float = CONTAINED) -> DataFrame:
     """`docs` without text, with n_words, n_base, first_word, last_word, base_labels,
     labels, score and blocks (array of template, block, containment).
@@ -90,7 +94,7 @@ def scan(docs: DataFrame, text: str = "text", phrases=PHRASES, templates=TEMPLAT
     for phrase, label in phrases:
         parts = phrase.split()
         wanted = F.array(*map(F.lit, parts))
-        starts = F.filter(F.sequence(F.lit(0), n - len(parts)), lambda i, k=len(parts), x=wanted: F.slice(words, i + 1, k) == x)
+        starts = F.filter(F.sequence(F.lit(0), n - len(parts)), _stands(words, wanted, len(parts)))
         starts = F.when(F.contains(joined, F.lit(f" {phrase} ")), starts).otherwise(F.array().cast("array<int>"))
         stands.append(F.struct(F.lit(label).alias("label"), starts.alias("starts")))
 
