@@ -17,9 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempolane.llm.text import ascii_lower, free_name, text_of
+from tempolane.llm.text import free_name, text_of
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between words, before or after lowering
 WINDOW = 64
 CONTAINED = 0.8
 MAX_WORDS = 100_000
@@ -49,7 +50,9 @@ TEMPLATES = (
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), 0)
+    """Words, lowered. Letters beyond A-Z are lowered too, which moves no word and gives
+    no phrase: only the Kelvin sign becomes an ASCII letter, and no phrase has a k."""
+    return F.array_remove(F.split(F.lower(text), GAPS, -1), "")
 
 
 def _split(phrase: str) -> list[str]:
@@ -84,59 +87,66 @@ def scan(docs: DataFrame, text: str = "text", phrases=PHRASES, templates=TEMPLAT
         raise ValueError(f"more than {MAX_WORDS} template words")
     new = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks")
     kept = [c for c in docs.columns if c != text and c.lower() not in new]
-    w, places, found = (free_name(docs.columns, n) for n in ("scan_words", "scan_places", "scan_found"))
+    w, line, places, found = (free_name(docs.columns, n) for n in ("scan_words", "scan_line", "scan_places", "scan_found"))
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], words_of(text_of(text)).alias(w))
     words, n = F.col(w), F.size(F.col(w))
 
     # Base: a cheap look at the joined words before places are sought.
-    joined = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    rows = rows.withColumn(line, F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
     stands = []
     for phrase, label in phrases:
         parts = phrase.split()
         wanted = F.array(*map(F.lit, parts))
         starts = F.filter(F.sequence(F.lit(0), n - len(parts)), _stands(words, wanted, len(parts)))
-        starts = F.when(F.contains(joined, F.lit(f" {phrase} ")), starts).otherwise(F.array().cast("array<int>"))
+        starts = F.when(F.contains(F.col(line), F.lit(f" {phrase} ")), starts).otherwise(F.array().cast("array<int>"))
         stands.append(F.struct(F.lit(label).alias("label"), starts.alias("starts")))
 
     counts = word_counts(docs, text, vocabulary) if vocabulary else {}
     order = {x: i for i, x in enumerate(sorted(vocabulary, key=lambda x: (counts.get(x, 0), x)))}
-    by_word: dict[str, list[Column]] = {}
     prepared = []
-    for number, (label, members) in enumerate(sets):
+    for label, members in sets:
         ranked = sorted(members, key=order.__getitem__)
-        needed = math.ceil(contained * len(ranked))
-        if not ranked:
-            continue
-        prepared.append((number, label, ranked, needed))
+        if ranked:
+            prepared.append((label, ranked, math.ceil(contained * len(ranked))))
+    # A candidate is one number for (block, template, place of the common word in it).
+    width = max((len(r) for _, r, _ in prepared), default=1)
+    by_word: dict[str, list[int]] = {}
+    for t, (_, ranked, needed) in enumerate(prepared):
         for at, word in enumerate(ranked[: len(ranked) - needed + 1]):
-            by_word.setdefault(word, []).append(
-                F.struct(F.lit(number).alias("t"), F.lit(at).alias("at"), F.lit(order[word]).alias("rank"), F.lit(needed).alias("needed"),
-                         F.array(*map(F.lit, ranked)).alias("words"), F.lit(label).alias("label"))
-            )
+            by_word.setdefault(word, []).append(t * width + at)
     kind = "array<struct<t:int,block:int,contained:double,label:string>>"
     if by_word:
-        index = F.create_map(*[x for k, v in by_word.items() for x in (F.lit(k), F.array(*v))])
+        span, half = len(prepared) * width, WINDOW // 2
+        index = F.create_map(*[x for k, v in by_word.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
         ranks = F.create_map(*[x for k, v in order.items() for x in (F.lit(k), F.lit(v))])
         keys = F.array(*map(F.lit, by_word))
-        half = WINDOW // 2
+        members = F.array(*[F.array(*map(F.lit, r)) for _, r, _ in prepared])
+        needs, labels = F.array(*[F.lit(x) for _, _, x in prepared]), F.array(*[F.lit(x) for x, _, _ in prepared])
         hits = F.filter(F.transform(words, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda h: F.array_contains(keys, h["w"]))
         near = lambda i: F.array_distinct(F.array(F.greatest(F.floor(i / half) - 1, F.lit(0)), F.floor(i / half)))
-        pairs = F.flatten(F.flatten(F.transform(hits, lambda h: F.transform(
-            F.element_at(index, h["w"]), lambda c: F.transform(near(h["i"]), lambda b: F.struct(b.cast("int").alias("block"), c.alias("c")))))))
-
-        def verified(p: Column) -> Column:
-            block = F.array_distinct(F.slice(words, p["block"] * half + 1, WINDOW))
-            later = F.filter(block, lambda x: F.coalesce(F.element_at(ranks, x), F.lit(-1)) >= p["c"]["rank"])
-            enough = (F.size(block) >= p["c"]["needed"]) & (F.size(later) >= p["c"]["needed"] - p["c"]["at"])
-            common = F.size(F.array_intersect(p["c"]["words"], block))
-            share = F.when(enough & (common >= p["c"]["needed"]), common / F.size(p["c"]["words"])).otherwise(F.lit(0.0))
-            return F.struct(p["c"]["t"].alias("t"), p["block"].alias("block"), share.alias("contained"), p["c"]["label"].alias("label"))
-
-        blocks = F.array_distinct(F.filter(F.transform(F.array_distinct(pairs), verified), lambda x: x["contained"] > 0))
+        codes = F.flatten(F.flatten(F.transform(hits, lambda h: F.transform(
+            F.element_at(index, h["w"]), lambda c: F.transform(near(h["i"]), lambda b: b * span + c)))))
+
+        def verified(code: Column) -> Column:
+            t, at, number = F.floor(code % span / width).cast("int"), (code % width).cast("int"), F.floor(code / span).cast("int")
+            own, needed = F.get(members, t), F.get(needs, t)
+
+            def share(block: Column) -> Column:
+                rank = F.element_at(ranks, F.get(own, at))
+                later = F.filter(block, lambda x: F.coalesce(F.element_at(ranks, x), F.lit(-1)) >= rank)
+                common = F.size(F.array_intersect(own, block))
+                enough = F.when(F.size(block) < needed, False).when(F.size(later) < needed - at, False).otherwise(common >= needed)
+                return F.when(enough, common / F.size(own)).otherwise(F.lit(0.0))
+
+            # A list of one names the block, so that it is cut once.
+            held = F.array(F.array_distinct(F.slice(words, number * half + 1, WINDOW)))
+            return F.struct(t.alias("t"), number.alias("block"), F.get(F.transform(held, share), F.lit(0)).alias("contained"), F.get(labels, t).alias("label"))
+
+        blocks = F.array_distinct(F.filter(F.transform(F.array_distinct(codes), verified), lambda x: x["contained"] > 0))
         blocks = F.when(F.arrays_overlap(words, keys), blocks).otherwise(F.array().cast(kind)).cast(kind)
     else:
         blocks = F.array().cast(kind)
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], n.cast("long").alias("n_words"), F.array(*stands).alias(places), blocks.alias(found))
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], n.cast("long").alias("n_words"), F.array(*stands).cast("array<struct<label:string,starts:array<int>>>").alias(places), blocks.alias(found))
     all_starts = F.flatten(F.transform(places, lambda p: p["starts"]))
     own = F.transform(F.filter(places, lambda p: F.size(p["starts"]) > 0), lambda p: p["label"])
     both = F.array_union(own, F.transform(found, lambda b: b["label"]))
