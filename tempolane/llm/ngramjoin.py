@@ -198,10 +198,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
         open_.join(groups, F.col("node") == F.col("k")).join(counts, F.col("group") == F.col("g"))
         .select("group", F.ceil(F.col("size") / block).cast("int").alias("blocks"), "node", "n", "tokens"), "members",
     )
-    links = keep(_first_cells(members, percent), "links")
-    large = members.filter("blocks > 1")
-    if large.limit(1).count():
-        links = links.union(keep(_rest_cells(large, links, percent, block), "links"))
+    links = group_links(members, percent, block)
     ids = components(links).withColumnsRenamed({"node": "k", "component": "c"})
     placed = keep(nodes.join(ids, F.col("node") == F.col("k"), "left").select("node", "other", "id", F.coalesce("c", "node").alias("c")), "placed")
     # A component is named by its smallest key; components that share a key are one.
@@ -264,7 +261,7 @@ class Overlaps:
         looked up in the long ones by halving.
         """
         lists = sorted((x for t in tokens if (x := self.lists.get(t))), key=len)
-        least = -(-n * self.percent // 100)
+        least = int(-(-n * self.percent // 100))
         if len(lists) < least:
             return
         long_ = min(int(least / (0.01 * math.log2(len(lists[-1]) + 1) + 1)), least - 1, len(lists) - 1)
@@ -386,6 +383,17 @@ def _searched(cells: DataFrame, percent: int) -> DataFrame:
     return sorted_.mapInArrow(run, "src long, dst long")
 
 
+def group_links(members: DataFrame, percent: float, block: int = BLOCK) -> DataFrame:
+    """(src, dst): links that join what is similar in each group of `members` (group,
+    blocks, node, n, tokens), where a group of more than `block` nodes has more blocks."""
+    spark = members.sparkSession
+    links = settled(_first_cells(members, percent), new_path(spark, "links"))
+    large = members.filter("blocks > 1")
+    if large.limit(1).count():
+        links = links.union(settled(_rest_cells(large, links, percent, block), new_path(spark, "links")))
+    return links
+
+
 def _first_cells(members: DataFrame, percent: int) -> DataFrame:
     """Each block of a group with itself and with the group's first block."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

@@ -181,6 +181,44 @@ def test_line_dedup(spark, docs):
     assert linededup.dedup_lines(docs).count() == docs.count() and linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def shingle_similarity(a, b):
+    one, two = ({x[i : i + 10] for i in range(max(1, len(x) - 9))} for x in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def families(n, seed=3):
+    """Pairs of similar lines that share boilerplate with all others."""
+    draw = random.Random(seed)
+    start = "this page and all of its parts belong to the archive of the town and may be read by everybody who comes here with number "
+    word = lambda k: "".join(draw.choice("abcdefghijklmnop") for _ in range(k))
+    pairs = []
+    for _ in range(n):
+        own = start + word(18)
+        pairs.append((own, own + word(2)))
+    return pairs
+
+
+def test_a_bucket_of_many_families_is_compared_whole(spark, monkeypatch):
+    pairs = families(150)
+    assert max(shingle_similarity(pairs[0][0], b) for _, b in pairs[1:]) < 0.8 <= min(shingle_similarity(*p) for p in pairs)
+    one = lambda lines: lines.select(F.col("h1").alias("id"), F.array(F.lit(1)).alias("bands")).distinct()
+    monkeypatch.setattr(linededup, "_bands", one)
+    lines = [x for p in pairs for x in p]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    for block in (4096, 64):
+        rows = linededup.line_groups(docs, block=block).select("stays_doc").collect()
+        assert Counter(r[0] for r in rows) == {2 * i: 2 for i in range(150)}
+
+
+def test_line_shingles_are_told_apart():
+    lines = ["a", "a\0", "aaaaaaaaaa", "aaaaaaaaaaa", "日本" * 9, "\U0001f600" * 6, "abcdefghijkl"]
+    hashes, counts = linededup.line_shingles(lines)
+    assert counts.tolist() == [1, 1, 1, 2, 9, 3, 3]
+    # Equal only: the a's, and every second one of what repeats.
+    assert len(set(hashes.tolist())) == 2 + 1 + 2 + 2 + 3
+    assert linededup.line_shingles([])[0].size == 0
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (None, 3)]
     got = dict(components.components(spark.createDataFrame(edges, "src long, dst long")).collect())
