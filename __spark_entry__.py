@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import dataclasses
-import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -18,14 +17,14 @@ from tempolane.plans.job import forecast_job
 from tempolane.sources import series, store
 from tempolane.sources.shared import new_path, send_package, settled
 
-# The corpus operators are a part that may be absent.
-if importlib.util.find_spec("tempolane.llm"):
+# The corpus operators are a part that may be absent, or lack a library here.
+try:
     import corpus_pipeline
     from tempolane.llm import queries as corpus
 
     CORPUS = {**corpus.QUERIES, "pipeline": corpus_pipeline.run}
     CORPUS_SQL = corpus.ORACLES
-else:
+except ImportError:
     CORPUS, CORPUS_SQL = {}, {}
 
 SMALL = ForecastConfig(window=8, batch=8, test_ratio=0.2, steps=5)
