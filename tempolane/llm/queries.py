@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, quality, sentencepieces, tokenfiles, urlrules, warc
+from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, quality, sentencepieces, tokenfiles, turnrepair, urlrules, warc
 from tempolane.sources.shared import new_path, send_package
 
 
@@ -66,11 +66,15 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turnrepair.digests(turnrepair.repair(turnrepair.damage(_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_warc, op3_token_files, op4_mixing, op5_quality, op6_hash_forest, op7_line_dedup,
-        op8_ngram_join, op9_url_rules, op10_licenses,
+        op8_ngram_join, op9_url_rules, op10_licenses, op13_turn_repair,
     )
 }
 
