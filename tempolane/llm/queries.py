@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, quality, sentencepieces, tokenfiles, turnrepair, urlrules, warc
+from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, phrases, quality, sentencepieces, tokenfiles, turnrepair, urlrules, warc
 from tempolane.sources.shared import new_path, send_package
 
 
@@ -66,6 +66,10 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turnrepair.digests(turnrepair.repair(turnrepair.damage(_table(spark, sf_dir, "conversations"))))
 
@@ -74,7 +78,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_warc, op3_token_files, op4_mixing, op5_quality, op6_hash_forest, op7_line_dedup,
-        op8_ngram_join, op9_url_rules, op10_licenses, op13_turn_repair,
+        op8_ngram_join, op9_url_rules, op10_licenses, op12_collocations, op13_turn_repair,
     )
 }
 
@@ -120,4 +124,27 @@ walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT walk.a, lin
 SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, m.component_id FROM s
 JOIN (SELECT a, min(b) AS component_id FROM walk GROUP BY a) m ON s.doc_id = m.a"""
 
-ORACLES = {"op2_warc": _WARC_SQL, "op8_ngram_join": _NGRAM_SQL, "op9_url_rules": _URL_SQL}
+_LOW = f"translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PHRASES_SQL = f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array({_LOW}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, g, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+    FROM w JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS k) ON len(w) >= k)
+  GROUP BY lang, k, g HAVING count(*) >= 100),
+cuts AS (SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, s.n, x.cut,
+    CAST(1000::HUGEINT * c.f * s.n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM c JOIN (SELECT unnest([1, 2, 3, 4]) AS cut) x ON x.cut < c.k
+  JOIN c l ON l.lang = c.lang AND l.g = c.g[1:x.cut] JOIN c r ON r.lang = c.lang AND r.g = c.g[x.cut + 1:]
+  JOIN sizes s ON s.lang = c.lang),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+parts AS (SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: g[i:i + m - 1])))) AS g
+  FROM c WHERE k > 2),
+held AS (SELECT lang, g, max(f) AS f FROM parts GROUP BY lang, g)
+SELECT worst.lang, row_number() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, array_to_string(worst.g, ' ')) AS rank,
+  array_to_string(worst.g, ' ') AS phrase, a, l, r, n, score
+FROM worst LEFT JOIN held ON held.lang = worst.lang AND held.g = worst.g WHERE held.f IS NULL OR 100 * held.f < 100 * a
+QUALIFY rank <= 2000"""
+
+ORACLES = {"op12_collocations": _PHRASES_SQL, "op2_warc": _WARC_SQL, "op8_ngram_join": _NGRAM_SQL, "op9_url_rules": _URL_SQL}
