@@ -228,7 +228,7 @@ def _train_long_series(spark, d):
 
 
 def _train_pooled(spark, d):
-    return train.train_pooled(ship_daily(spark, d), SHIP, TRAINED, rounds_per_epoch=1).models.select("params")
+    return train.train_pooled(ship_daily(spark, d), SHIP, TRAINED).models.select("params")
 
 
 def _training_stats(spark, d):

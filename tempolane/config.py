@@ -64,7 +64,8 @@ class ForecastConfig:
     save_updater: bool = False
     seed: int = 8347480
     averaging_frequency: int = 5  # mini-batches between two parameter averages
-    long_rows: int = 200_000  # a longer series is spread over several tasks
+    shards: int = 0  # parts that train one network for all series; 0: by the number of rows
+    long_rows: int = 200_000  # a longer series is read in pieces; results do not depend on it
 
     def __post_init__(self):
         # An unknown name selects the default instead of failing.
@@ -75,8 +76,8 @@ class ForecastConfig:
         for name in ("window", "batch", "hidden", "averaging_frequency", "long_rows", "bptt_length"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1, got {getattr(self, name)}")
-        if self.epochs < 0 or self.steps < 0:
-            raise ValueError("epochs and steps must not be negative")
+        if self.epochs < 0 or self.steps < 0 or self.shards < 0:
+            raise ValueError("epochs, steps and shards must not be negative")
         if not 0.0 <= self.test_ratio <= 1.0:
             raise ValueError(f"test_ratio must lie in [0, 1], got {self.test_ratio}")
         if not 0.0 <= self.dropout <= 1.0:

@@ -2,8 +2,10 @@
 
 A DataFrame has no order, so every later step works on an explicit `pos`. A
 keyed window gives it in one shuffle, but puts a whole series into one task.
-Series above a length limit are therefore cut into ranges of the order column:
-each range is numbered on its own and shifted by the count of the ranges before.
+Series above a length limit are therefore laid out in ranges of their keys and
+all order columns, so that a range ends anywhere in a series. The layout is
+written, rows are counted by range and series, and what a series has in earlier
+ranges is added to a row's place in its own: exact for orders of any type.
 """
 
 from __future__ import annotations
@@ -17,13 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempolane.config import ForecastConfig, SeriesSpec
-from tempolane.functions.columns import doubles, order_number, plan_error, required, with_range
+from tempolane.functions.columns import plan_error, required
+from tempolane.sources.shared import new_path, settled
 
-# Upper bound on how many series can count as long: the limit is raised to
-# (all rows / MAX_LONG) if needed, so the table of their keys is always small
-# enough to broadcast, whatever the data.
-MAX_LONG = 10_000
-_SALTS = 64
+# Tables with a row for each long series are sent to all tasks up to so many
+# bytes, and joined by a shuffle beyond.
+SENT_BYTES = 64 << 20
 # Where the layout is fixed: most rows a task should get, rows that are worth a
 # task of their own, and most tasks of a shuffle.
 TASK_ROWS = 500_000
@@ -34,27 +35,30 @@ MAX_TASKS = 50_000
 @dataclass(frozen=True)
 class Lanes:
     """One table, cut by series length. In `short`, a series fits into one task.
-    A series in `long` never has to; their keys are in `names`. `middle` is empty
-    unless the series are so many that not all long ones can be named: its series
-    are laid out whole, but worked on in pieces. Each lane may be absent."""
+    A series in `long` never has to; their keys are in `names`. Each lane may be
+    absent."""
 
     short: DataFrame | None
     long: DataFrame | None
-    names: DataFrame | None = None  # fewer than MAX_LONG rows
-    middle: DataFrame | None = None
+    names: DataFrame | None = None
+    most: int = 1  # bound on the number of long series
+    key_bytes: int = 0  # of the widest key
 
-    def map(self, short: Callable, long: Callable | None = None, middle: Callable | None = None) -> Lanes:
-        long = long or short
+    def map(self, short: Callable, long: Callable | None = None) -> Lanes:
         return Lanes(
             None if self.short is None else short(self.short),
-            None if self.long is None else long(self.long),
-            self.names,
-            None if self.middle is None else (middle or long)(self.middle),
+            None if self.long is None else (long or short)(self.long),
+            self.names, self.most, self.key_bytes,
         )
 
     def union(self) -> DataFrame:
-        parts = [p for p in (self.short, self.middle, self.long) if p is not None]
-        return functools.reduce(DataFrame.unionByName, parts)
+        return functools.reduce(DataFrame.unionByName, [p for p in (self.short, self.long) if p is not None])
+
+    def sent(self, table: DataFrame, values: int, each: int = 1) -> DataFrame:
+        """A table with `each` rows of `values` numbers for a long series, marked
+        for broadcast if it is surely small."""
+        size = self.most * each * (self.key_bytes + 8 * values + 64)
+        return F.broadcast(table) if size <= SENT_BYTES else table
 
 
 class Sizes(NamedTuple):
@@ -63,11 +67,7 @@ class Sizes(NamedTuple):
     top: int  # rows of the longest
     total: int  # rows of all
     error: str | None  # why one cannot be modelled, if asked for
-
-    @property
-    def limit(self) -> int:
-        """Least length above which at most MAX_LONG series can lie."""
-        return -(-self.total // MAX_LONG)
+    key_bytes: int  # of the widest key, written as text
 
     def tasks(self, spark: SparkSession) -> int:
         """Tasks for steps that compute more than they read. Fixed, because
@@ -92,48 +92,31 @@ def measure(df: DataFrame, spec: SeriesSpec, cfg: ForecastConfig | None = None)
     nameless = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys], F.lit(False))
     error = plan_error(F.col("n"), cfg) if cfg else F.lit(None).cast("string")
     told = F.concat_ws(" ", F.to_json(F.struct(*spec.keys)) if spec.keys else F.lit("series"), error)
-    top, total, bad, first = (
+    width = F.octet_length(F.to_json(F.struct(*spec.keys))) if spec.keys else F.lit(0)
+    top, total, bad, first, widest = (
         _lengths(df, spec)
-        .agg(F.max("n"), F.sum("n"), F.max(nameless), F.min(F.when(error.isNotNull(), told)))
+        .agg(F.max("n"), F.sum("n"), F.max(nameless), F.min(F.when(error.isNotNull(), told)), F.max(width))
         .first()
     )
     if bad:
         raise ValueError(f"null in the key columns {list(spec.keys)}: fill or filter these rows first")
-    return Sizes(top or 0, total or 0, first)
+    return Sizes(top or 0, total or 0, first, widest or 0)
 
 
 def cut_by_length(df: DataFrame, spec: SeriesSpec, long_rows: int, sizes: Sizes) -> tuple[Lanes, int]:
     """The lanes, and the number of rows in the long one."""
-    limit = max(long_rows, sizes.limit)
-    if sizes.top <= limit:
+    if sizes.top <= long_rows:
         return Lanes(df, None), 0
     if not spec.keys:
         return Lanes(None, df), sizes.total
-    # Fewer than MAX_LONG rows, see above; taken out of the plan so that each
-    # use does not count the series again.
-    found = _lengths(df, spec).where(F.col("n") > limit).select(*spec.keys, "n").collect()
-    schema = df.select(*spec.keys).schema
-    names = F.broadcast(df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], schema))
     on = list(spec.keys)
-    lanes = Lanes(df.join(names, on, "left_anti"), df.join(names, on, "left_semi"), names)
-    return lanes, sum(r["n"] for r in found)
-
-
-def _range_edges(df: DataFrame, number, ranges: int) -> list[float]:
-    """Values that cut the rows into about equal ranges. They steer only the
-    balance: positions are exact for any edges. Quantiles of salted groups
-    first, so that no single task merges the sketches of all partitions."""
-    shares = doubles([k / ranges for k in range(1, ranges)])
-    accuracy = 4 * ranges
-    row = (
-        df.select(number.alias("v"))
-        .groupBy(F.pmod(F.xxhash64("v"), F.lit(_SALTS)).alias("salt"))
-        .agg(F.percentile_approx("v", shares, accuracy).alias("q"))
-        .select(F.explode("q").alias("v"))
-        .agg(F.percentile_approx("v", shares, accuracy).alias("q"))
-        .first()
-    )
-    return sorted(set(row["q"] or []))
+    # Written, so that each use does not count the series again.
+    found = _lengths(df, spec).where(F.col("n") > long_rows).select(*on, "n")
+    found = settled(found, new_path(df.sparkSession, "long"))
+    lanes = Lanes(None, None, found.select(*on), sizes.total // long_rows, sizes.key_bytes)
+    names = lanes.sent(lanes.names, 0)
+    short, long = (df.join(names, on, how) for how in ("left_anti", "left_semi"))
+    return Lanes(short, long, *list(vars(lanes).values())[2:]), found.agg(F.sum("n")).first()[0]
 
 
 def _number_short(df: DataFrame, spec: SeriesSpec, partitions: int | None) -> DataFrame:
@@ -145,25 +128,34 @@ def _number_short(df: DataFrame, spec: SeriesSpec, partitions: int | None) -> Da
     ).withColumn("n", F.count(F.lit(1)).over(series))
 
 
-def _number_long(df: DataFrame, spec: SeriesSpec, ranges: int) -> DataFrame:
-    number = order_number(spec.order[0], df.schema[spec.order[0]].dataType)
-    edges = _range_edges(df, number, ranges)
-    cut = with_range(df, number, edges, "_tl_range")
-    place = [*spec.keys, "_tl_range"]
-    counts = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_tl_rows"))
-    # At most `ranges` rows per series from here.
+def _ranged(df: DataFrame, spec: SeriesSpec, ranges: int) -> DataFrame:
+    """The rows in ranges of about equal size, sorted, each with its range and its
+    place in it. Written: what follows must see the same layout twice."""
+    place = [*spec.keys, *spec.order]
+    laid = df.repartitionByRange(ranges, *place).sortWithinPartitions(*place)
+    laid = laid.withColumns({
+        "_tl_range": F.spark_partition_id(),
+        # The lower bits of this number count the rows of a partition.
+        "_tl_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    return settled(laid, new_path(df.sparkSession, "ranges"))
+
+
+def _number_long(df: DataFrame, spec: SeriesSpec, ranges: int, lanes: Lanes) -> DataFrame:
+    laid = _ranged(df, spec, ranges)
+    place = ["_tl_range", *spec.keys]
+    # A row for each series in each range: only series that cross a border have several.
+    counts = laid.groupBy(*place).agg(F.count(F.lit(1)).alias("_tl_rows"), F.min("_tl_at").alias("_tl_first"))
     series = Window.partitionBy(*spec.keys)
     before = series.orderBy("_tl_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         *place,
-        F.coalesce(F.sum("_tl_rows").over(before), F.lit(0)).alias("_tl_start"),
+        (F.coalesce(F.sum("_tl_rows").over(before), F.lit(0)) - F.col("_tl_first")).alias("_tl_shift"),
         F.sum("_tl_rows").over(series).alias("n"),
     )
-    # Join and numbering share one shuffle on (keys, range).
-    within = Window.partitionBy(*place).orderBy(*spec.order)
-    return cut.join(starts, place).withColumn(
-        "pos", F.col("_tl_start") + F.row_number().over(within) - 1
-    ).drop("_tl_range", "_tl_start")
+    # As many rows as long series and ranges together.
+    starts = lanes.sent(starts, 3, 1 + -(-ranges // lanes.most))
+    return laid.join(starts, place).withColumn("pos", F.col("_tl_at") + F.col("_tl_shift")).drop("_tl_range", "_tl_at", "_tl_shift")
 
 
 def position_lanes(
@@ -184,9 +176,9 @@ def position_lanes(
     df = df.select(*dict.fromkeys((*spec.keys, *spec.order, *spec.values)))
     sizes = sizes or measure(df, spec)
     lanes, rows = cut_by_length(df, spec, long_rows, sizes)
-    ranges = min(MAX_LONG, max(2, -(-rows // long_rows)))
+    ranges = min(MAX_TASKS, max(2, -(-rows // min(long_rows, TASK_ROWS))))
     return lanes.map(
-        lambda d: shape(_number_short(d, spec, partitions)), lambda d: shape(_number_long(d, spec, ranges))
+        lambda d: shape(_number_short(d, spec, partitions)), lambda d: shape(_number_long(d, spec, ranges, lanes))
     )
 
 

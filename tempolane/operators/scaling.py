@@ -76,8 +76,8 @@ def attach_scalers(
     """Add each series' minima and maxima to its rows.
 
     In the short lane by a window over the series, without a shuffle of its own.
-    The long lane has fewer than MAX_LONG series by construction, so its ranges
-    are broadcast. `scalers` replaces the fit by stored ranges."""
+    In the long lane by a join with one row a series, which is broadcast if small.
+    `scalers` replaces the fit by stored ranges."""
     found = scaler_aggregates(spec, cfg)
     keys = list(spec.keys)
 
@@ -97,7 +97,7 @@ def attach_scalers(
             return constant(rows, table)
         if scalers is not None:
             table = scalers.join(lanes.names, keys, "left_semi")
-        return rows.join(F.broadcast(table), keys, "left")
+        return rows.join(lanes.sent(table, len(found)), keys, "left")
 
     return lanes.map(short, long)
 

@@ -19,6 +19,7 @@ PLACE = ("pos", "lost", "n_train", "n_test")
 class Prepared(NamedTuple):
     lanes: Lanes
     tasks: int  # for steps that fix their own layout
+    total: int  # rows of all series
 
 
 def prepare(
@@ -43,14 +44,10 @@ def prepare(
     xs, ys = scaled_columns(spec)
     scaled = attach_scalers(lanes, spec, cfg, scalers).map(
         lambda rows: rows.select(
-            *spec.keys, "n", *PLACE, xs.alias("xs"), ys.alias("ys"), scaler_struct(spec).alias("scaler")
+            *spec.keys, *PLACE, xs.alias("xs"), ys.alias("ys"), scaler_struct(spec).alias("scaler")
         )
     )
-    if scaled.short is not None and min(sizes.top, sizes.limit) > cfg.long_rows:
-        # Too many long series to name them all: the others are known by `n`.
-        whole = F.col("n") <= cfg.long_rows
-        scaled = Lanes(scaled.short.where(whole), scaled.long, scaled.names, scaled.short.where(~whole))
-    return Prepared(scaled.map(lambda rows: rows.drop("n")), tasks)
+    return Prepared(scaled, tasks, sizes.total)
 
 
 def row_in_plan() -> Column:

@@ -7,9 +7,12 @@ these heads alone.
 
 A short series is one chain in one task. A long one is cut into pieces that are
 worked on at once: each piece starts from a guess of its state, then every piece
-whose guess differs from the end of the piece before is run again, until none
-does. At that point the chain is the sequential one. The state forgets quickly,
-so this takes few passes; in the worst case as many as there are pieces.
+whose guess differs from the end of the piece before is run again. The state
+mostly forgets quickly, so that few such passes leave no difference. After
+`GUESSES` of them the series that are still open are relayed: their pieces come
+in order, one task hands the state from piece to piece, and runs those anew that
+had started from another one. The number of jobs is fixed, and the result is the
+sequential one.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,6 +45,8 @@ PIECE_BATCHES = 64
 PIECE_EXAMPLES = 2_048
 # Short series that go through the network together.
 SIDE_BY_SIDE = 2_048
+# Passes over all pieces at once before what is open is relayed.
+GUESSES = 3
 # Largest difference between a piece's start and the end of the one before.
 TOLERANCE = 1e-12
 
@@ -80,9 +85,9 @@ def _stored_scalers(models: DataFrame, spec: SeriesSpec) -> DataFrame:
     return unpack_scalers(models, spec)
 
 
-def _joins(lanes: Lanes, parameters, spec: SeriesSpec):
+def _joins(lanes: Lanes, parameters, spec: SeriesSpec, size: int):
     """Two ways to add `params`: by a join on the layout the rows of a lane
-    already have, or, for the few named series, by a broadcast."""
+    already have, or, where the long series' are small, by a broadcast."""
     keys = list(spec.keys)
     if isinstance(parameters, list):
         same = lambda rows: rows.withColumn("params", F.lit(parameters))
@@ -92,7 +97,7 @@ def _joins(lanes: Lanes, parameters, spec: SeriesSpec):
         return rows.join(parameters, keys, "left")
 
     def named(rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(parameters.join(lanes.names, keys, "left_semi")), keys, "left")
+        return rows.join(lanes.sent(parameters.join(lanes.names, keys, "left_semi"), size), keys, "left")
 
     return plain, named
 
@@ -190,6 +195,15 @@ def _run_piece(cfg: ForecastConfig, net: cell.Net, row: pa.RecordBatch, state, s
     return np.concatenate((h.reshape(-1), c.reshape(-1)))
 
 
+def _through(run) -> np.ndarray:
+    """The state after all heads of a piece."""
+    while True:
+        try:
+            next(run)
+        except StopIteration as done:
+            return done.value
+
+
 def _piece_start(row: pa.RecordBatch, warm: bool, size: int) -> int:
     """First head of a piece that is run at all."""
     return 0 if warm else max(0, field(row, "n_train") - field(row, "piece") * size)
@@ -204,13 +218,7 @@ def _chain_pieces(
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
             _theta(row, keys)
-            run = _run_piece(cfg, net, row, np.array(field(row, "h_in")), _piece_start(row, warm, size))
-            while True:
-                try:
-                    next(run)
-                except StopIteration as done:
-                    ends.append(done.value)
-                    break
+            ends.append(_through(_run_piece(cfg, net, row, np.array(field(row, "h_in")), _piece_start(row, warm, size))))
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(k) for k in keys], batch.column("piece"), batch.column("h_in").cast(schema.field("h_in").type),
              pa.array(ends, pa.list_(pa.float64()))],
@@ -218,6 +226,42 @@ def _chain_pieces(
         )
 
 
+def _stale(states: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces that did not start where the one before ended, with that state."""
+    place = [*keys, "piece"]
+    before = states.select(*keys, (F.col("piece") + 1).alias("piece"), F.col("h_out").alias("h_new"))
+    gap = F.array_max(F.zip_with("h_in", "h_new", lambda a, b: F.abs(a - b)))
+    return states.join(before, place).where(gap > TOLERANCE)
+
+
+def _relay_pieces(
+    cfg: ForecastConfig, net: cell.Net, keys: tuple[str, ...], schema: pa.Schema, warm: bool, size: int,
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[pa.RecordBatch]:
+    """Pieces in order, with what they started from and ended with: the state goes
+    from one to the next, and a piece is run where it started from another."""
+    name, state = None, None
+    for batch in batches:
+        starts, ends = [], []
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1)
+            here, guess = [field(row, k) for k in keys], np.array(field(row, "h_in"))
+            if here != name or state is None:
+                name, state = here, guess
+            if np.abs(state - guess).max() <= TOLERANCE:
+                end = np.array(field(row, "h_out"))
+                state = guess
+            else:
+                end = _through(_run_piece(cfg, net, row, state, _piece_start(row, warm, size)))
+            starts.append(state)
+            ends.append(end)
+            state = end
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(k) for k in keys], batch.column("piece"), pa.array(starts, pa.list_(pa.float64())), pa.array(ends, pa.list_(pa.float64()))],
+            schema=schema,
+        )
+
+
 def _report_pieces(
     cfg: ForecastConfig, net: cell.Net, keys: tuple[str, ...], schema: pa.Schema, warm: bool, size: int,
     batches: Iterator[pa.RecordBatch],
@@ -257,17 +301,23 @@ def _heads_long(
     work = functools.partial(_chain_pieces, cfg, net, spec.keys, to_arrow_schema(chain_schema), warm, size)
     zeros = F.lit([0.0] * (2 * net.hidden))
     states = settled(cut.withColumn("h_in", zeros).mapInArrow(work, chain_schema), f"{base}/pass=0")
-    number = 0
-    while True:
-        before = states.select(*keys, (F.col("piece") + 1).alias("piece"), F.col("h_out").alias("h_new"))
-        gap = F.array_max(F.zip_with("h_in", "h_new", lambda a, b: F.abs(a - b)))
-        stale = states.join(before, place).where(gap > TOLERANCE).select(*place, F.col("h_new").alias("h_in"))
+    for number in range(1, GUESSES + 1):
+        stale = _stale(states, keys).select(*place, F.col("h_new").alias("h_in"))
         if stale.isEmpty():
             break
-        number += 1
-        again = cut.join(stale, place).select(*[c for c in cut.columns], "h_in").mapInArrow(work, chain_schema)
+        again = cut.join(stale, place).select(*cut.columns, "h_in").mapInArrow(work, chain_schema)
         kept = states.join(stale.select(*place), place, "left_anti")
         states = settled(kept.unionByName(again), f"{base}/pass={number}")
+    else:
+        # Of each series that is still open, the pieces from the first stale one on.
+        since = F.min(F.when(F.col("h_new").isNotNull(), F.col("piece"))).over(Window.partitionBy(*keys))
+        late = states.join(_stale(states, keys).select(*place, "h_new"), place, "left").withColumn("since", since)
+        late = late.where(F.col("piece") >= F.col("since") - 1).select(*place, "h_in", "h_out")
+        feed = cut.join(late, place).select(*cut.columns, "h_in", "h_out")
+        laid = feed.repartition(tasks, *keys) if keys else feed.repartition(1)
+        relay = functools.partial(_relay_pieces, cfg, net, spec.keys, to_arrow_schema(chain_schema), warm, size)
+        relayed = settled(laid.sortWithinPartitions(*place).mapInArrow(relay, chain_schema), f"{base}/relay")
+        states = states.join(relayed.select(*place), place, "left_anti").unionByName(relayed)
     schema = _schema(rows, spec, HEADS)
     report = functools.partial(_report_pieces, cfg, net, spec.keys, to_arrow_schema(schema), warm, size)
     tested = cut.where((F.col("piece") + 1) * size > F.col("n_train"))
@@ -292,13 +342,14 @@ def score_heads(
     stored with the models instead of those of the current training part."""
     parameters = _model_parameters(models, spec, cfg)
     scalers = None if refit_scaler else _stored_scalers(models, spec)
-    lanes, tasks = prepare(df, spec, cfg, on_error, scalers)
+    lanes, tasks, _ = prepare(df, spec, cfg, on_error, scalers)
 
     def pieced(attach):
         return lambda rows: _heads_long(rows, attach, spec, cfg, warm, piece_batches, tasks)
 
-    plain, named = _joins(lanes, parameters, spec)
-    return lanes.map(lambda rows: _heads_short(plain(rows), spec, cfg, warm), pieced(named), pieced(plain)).union()
+    net = cell.net_for(cfg, len(spec.values), len(spec.targets))
+    plain, named = _joins(lanes, parameters, spec, net.size)
+    return lanes.map(lambda rows: _heads_short(plain(rows), spec, cfg, warm), pieced(named)).union()
 
 
 # --- all examples, without state --------------------------------------------------
@@ -350,7 +401,7 @@ def score_windows(
     first_piece = div(train, piece_examples) if tested else F.lit(0)
     used = (row_in_plan() < count + cfg.window - 1) & (row_in_plan() >= first_piece * piece_examples)
 
-    lanes, tasks = prepare(df, spec, cfg, on_error, scalers)
+    lanes, tasks, _ = prepare(df, spec, cfg, on_error, scalers)
 
     def cut(rows: DataFrame, spread: int | None) -> DataFrame:
         parts = pieces(rows, spec, piece_examples, cfg.window - 1, used, count, spread)
@@ -360,8 +411,8 @@ def score_windows(
     net = cell.net_for(cfg, len(spec.values), len(spec.targets))
     schema = _schema(df, spec, SCORES)
     work = functools.partial(_score_pieces, cfg, net, spec.keys, to_arrow_schema(schema), tested, last_only, piece_examples)
-    plain, named = _joins(lanes, parameters, spec)
-    return lanes.map(plain, named, plain).map(lambda rows: rows.mapInArrow(work, schema)).union()
+    plain, named = _joins(lanes, parameters, spec, net.size)
+    return lanes.map(plain, named).map(lambda rows: rows.mapInArrow(work, schema)).union()
 
 
 # --- results ----------------------------------------------------------------------

@@ -1,15 +1,23 @@
 """Training: one network per series, or one network by parameter averaging.
 
-A short series trains in one task, mini-batch after mini-batch. Tasks train many
-series at once, since their networks are tiny. A series (or a pool of series)
-that is too long for that trains in rounds: every task starts from the same
-parameters, runs over its pieces, and the results are averaged.
+A series trains mini-batch after mini-batch, whatever its length. Tasks train many
+short series side by side, since their networks are tiny. A long one is cut into
+pieces, which its task reads one after another from the shared folder, in every epoch;
+its parameters are stored on the way, and another attempt goes on from there.
+
+One network for all series trains in shards, which are a matter of the data and the
+configuration, not of the cluster. All shards start a round from the same parameters,
+train some mini-batches, and the average is the next start. The tasks that hold the
+shards run at once as a barrier stage and exchange sums: training is one job. Sums are
+exact, so that the number of tasks changes no digit.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import math
+import pickle
 import time
 import uuid
 from collections.abc import Iterator
@@ -17,7 +25,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.parquet as pq
+from pyspark import BarrierTaskContext, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +35,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tempolane.config import ForecastConfig, SeriesSpec
 from tempolane.functions import cell
 
-from tempolane.functions.columns import plan_columns, plan_error
+from tempolane.functions.columns import div
 from tempolane.functions.stream import alike, field, key_columns, packs, stack, whole_series
-from tempolane.operators.position import Lanes
+from tempolane.operators.position import MAX_TASKS
 from tempolane.plans.prepare import (
     first_row_of,
     in_series_order,
@@ -37,14 +46,21 @@ from tempolane.plans.prepare import (
     prepare,
     row_in_plan,
 )
+from tempolane.sources import files
 from tempolane.sources.shared import new_path, settled
 
 HISTORY = "array<struct<epoch:int,round:int,partition:int,n_windows:bigint,loss:double,fit_ms:bigint>>"
 STATS = "epoch int, round int, partition int, n_windows bigint, loss double, fit_ms bigint"
-START = "params array<double>, updater array<double>"
 SCALER = "struct<f_min:array<double>,f_max:array<double>,l_min:array<double>,l_max:array<double>>"
-# Parameters sent to every task in one training round, in bytes.
-PARAMETER_BYTES = 256 << 20
+# Examples of a piece of a series, and mini-batches between two stored states.
+PIECE_EXAMPLES = 8_192
+STORE_BATCHES = 20_000
+# Rows that a shard of pooled training holds, where the configuration doesn't say how many.
+SHARD_ROWS = 4_000_000
+LEAST_SHARDS = 8
+# Shards that are worth a task: tasks wait for each other in every round, which takes
+# Spark about a second, in which a task can train so many shards.
+TASK_SHARDS = 32
 # Doubles in the working arrays of one numpy call: small enough for a cache.
 _WORK = 1 << 18
 
@@ -167,15 +183,14 @@ def train_per_series(
     """One model per series: (model_id, keys, config, inputs, targets, params,
     updater, scaler, history).
 
-    Lazy for short series. Series above `cfg.long_rows` are trained at once, by
-    averaging over their pieces (see `train_pooled`)."""
-    lanes, tasks = prepare(df, spec, cfg, on_error)
+    Lazy, but for cutting series above `cfg.long_rows` into pieces. Every series is
+    trained by the same rule, and so with the same result, on either side of it."""
+    lanes, tasks, _ = prepare(df, spec, cfg, on_error)
     models = []
     if lanes.short is not None:
         models.append(_train_short(lanes.short, spec, cfg))
-    if lanes.long is not None or lanes.middle is not None:
-        rows = Lanes(None, lanes.long, middle=lanes.middle).union()
-        models.append(_train_rounds(rows, spec, cfg, spec.keys, 1, tasks).models)
+    if lanes.long is not None:
+        models.append(_train_long(lanes.long, spec, cfg, tasks))
     return _describe(functools.reduce(DataFrame.unionByName, models), spec, cfg, model_id)
 
 
@@ -188,181 +203,256 @@ def training_stats(models: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-# --- one network by parameter averaging ------------------------------------------
+# --- long series, piece by piece ---------------------------------------------------
 
 
-def _local_steps(
-    cfg: ForecastConfig,
-    net: cell.Net,
-    pool: tuple[str, ...],
-    schema: pa.Schema,
-    tick: int,
-    start: tuple[list[float], list[float]] | None,
+def field_array(row: pa.RecordBatch, name: str) -> np.ndarray:
+    return row.column(name).flatten().to_numpy(zero_copy_only=False)
+
+
+def _mini_batches(cfg: ForecastConfig, net: cell.Net, row: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y) of each mini-batch of a piece."""
+    xs = field_array(row, "xs").reshape(1, -1, net.inputs)
+    ys = field_array(row, "ys").reshape(1, -1, net.outputs)
+    for k in range((xs.shape[1] - cfg.window) // cfg.batch):
+        first = k * cfg.batch
+        yield cell.cut_examples(xs, cfg.window, first, cfg.batch), ys[:, first + cfg.window : first + cfg.window + cfg.batch]
+
+
+def _piece_batches(cfg: ForecastConfig) -> int:
+    return max(1, PIECE_EXAMPLES // cfg.batch)
+
+
+def _training_pieces(rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, tasks: int) -> DataFrame:
+    count = F.col("n_train") * cfg.batch
+    return pieces(rows, spec, _piece_batches(cfg) * cfg.batch, cfg.window, in_training(cfg), count, tasks)
+
+
+def _stored(rows: DataFrame, by: str, order: list, many: int, path: str) -> list[int]:
+    """Write `rows` in one sorted folder for each number `by`; returns the numbers."""
+    laid = rows.repartition(many, by).sortWithinPartitions(by, *order)
+    # Small row groups: a reader holds one at a time.
+    laid.write.option("parquet.block.size", 8 << 20).partitionBy(by).parquet(path)
+    found = rows.sparkSession.read.parquet(path).select(by).distinct()  # at most `many`
+    return sorted(r[0] for r in found.collect())
+
+
+class _Fitting:
+    """The state of training the series of one folder: where it stands and, for each
+    series, its parameters. Kept in the shared folder under a name that tells where."""
+
+    def __init__(self, folder: str, name: str):
+        self.folder, self.name = folder, name
+        self.epoch = self.done = 0
+        self.series: dict[tuple, dict] = {}
+        found = [n for n in files.names(folder) if n.startswith(f"{name}.")]
+        self.last = max(found, default=None)
+        if self.last:
+            self.epoch, self.done, self.series = pickle.loads(files.get(folder, self.last))
+
+    def store(self) -> None:
+        now = f"{self.name}.{self.epoch:06d}-{self.done:012d}"
+        files.put(self.folder, now, pickle.dumps((self.epoch, self.done, self.series)))
+        if self.last and self.last != now:
+            files.drop(self.folder, self.last)
+        self.last = now
+
+
+def _fit_folder(
+    cfg: ForecastConfig, net: cell.Net, keys: tuple[str, ...], base: str, per: int, number: int, partition: int
+) -> list[tuple[pa.RecordBatch, dict]]:
+    """(first piece's keys and scaler, state) of each series of a folder, trained in
+    order of pieces, of `per` mini-batches, for all epochs. Holds a few pieces and the
+    parameters."""
+    state = _Fitting(f"{base}/state", f"bin-{number}")
+    columns = [*keys, "piece", "scaler", "xs", "ys"]
+    since = 0
+    while state.epoch < cfg.epochs or not state.series:
+        for at, row in enumerate(files.table_rows(f"{base}/pieces/bin={number}", columns)):
+            if at < state.done:
+                continue
+            name = tuple(field(row, k) for k in keys)
+            own = state.series.get(name)
+            if own is None:
+                theta = net.initial(cfg.seed)[None]
+                own = {"first": row.select([*keys, "scaler"]).take([0]), "theta": theta, "memory": np.zeros_like(theta), "history": []}
+                state.series[name] = own
+            if state.epoch < cfg.epochs:
+                if len(own["history"]) == state.epoch:
+                    own["history"].append({"epoch": state.epoch, "round": 0, "partition": partition, "n_windows": 0, "loss": 0.0, "fit_ms": 0})
+                log, started = own["history"][-1], time.monotonic()
+                first = field(row, "piece") * per
+                for k, (x, y) in enumerate(_mini_batches(cfg, net, row), first):
+                    log["loss"] += float(cell.fit_batch(cfg, net, own["theta"], own["memory"], x, y, (state.epoch << 32) + k)[0])
+                    log["n_windows"] += cfg.batch
+                    since += 1
+                log["fit_ms"] += int(1000 * (time.monotonic() - started))
+            state.done = at + 1
+            if since >= STORE_BATCHES:
+                state.store()
+                since = 0
+        for own in state.series.values():
+            if own["history"]:
+                own["history"][-1]["loss"] /= max(1, own["history"][-1]["n_windows"] // cfg.batch)
+        state.epoch, state.done = state.epoch + 1, 0
+        state.store()
+    return [(own["first"], own) for own in state.series.values()]
+
+
+def _fit_folders(
+    cfg: ForecastConfig, net: cell.Net, keys: tuple[str, ...], schema: pa.Schema, base: str, per: int, numbers: list[int],
     batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
-    """One task's share of a round: pass over its pieces from the common start;
-    one row per pool. Holds one network per pool, never the pieces."""
     context = TaskContext.get()
-    partition = context.partitionId() if context else 0
-    found: dict = {}
     for batch in batches:
-        for at in range(batch.num_rows):
-            row = batch.slice(at, 1)
-            name = tuple(field(row, k) for k in pool)
-            if name not in found:
-                theta, memory = start or (field(row, "params"), field(row, "updater"))
-                found[name] = [row.select(list(pool)), np.array([theta]), np.array([memory]), 0, 0.0, 0.0]
-            entry = found[name]
-            started = time.monotonic()
-            xs = field_array(row, "xs").reshape(1, -1, net.inputs)
-            ys = field_array(row, "ys").reshape(1, -1, net.outputs)
-            count = (xs.shape[1] - cfg.window) // cfg.batch
-            for k in range(count):
-                first = k * cfg.batch
-                x = cell.cut_examples(xs, cfg.window, first, cfg.batch)
-                y = ys[:, first + cfg.window : first + cfg.window + cfg.batch]
-                loss = cell.fit_batch(cfg, net, entry[1], entry[2], x, y, (tick << 32) + entry[3])
-                entry[3] += 1
-                entry[4] += float(loss[0])
-            entry[5] += 1000 * (time.monotonic() - started)
-    if not found:
-        return
-    entries = list(found.values())
-    n = [e[3] for e in entries]
-    yield pa.RecordBatch.from_arrays(
-        [
-            *[pa.concat_arrays([e[0].column(k) for e in entries]) for k in pool],
-            pa.array([e[1][0] for e in entries], pa.list_(pa.float64())),
-            pa.array([e[2][0] for e in entries], pa.list_(pa.float64())),
-            pa.array(n, pa.int64()),
-            pa.array([partition] * len(entries), pa.int32()),
-            pa.array([c * cfg.batch for c in n], pa.int64()),
-            pa.array([e[4] / max(e[3], 1) for e in entries], pa.float64()),
-            pa.array([int(e[5]) for e in entries], pa.int64()),
-        ],
-        schema=schema,
+        for i in batch.column(0).to_pylist():
+            found = _fit_folder(cfg, net, keys, base, per, numbers[i], context.partitionId() if context else 0)
+            firsts = [first for first, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *key_columns(firsts, keys),
+                    pa.array([own["theta"][0] for _, own in found], pa.list_(pa.float64())),
+                    pa.array([own["memory"][0] for _, own in found], pa.list_(pa.float64())),
+                    pa.concat_arrays([f.column("scaler") for f in firsts]).cast(schema.field("scaler").type),
+                    pa.array([own["history"] for _, own in found], schema.field("history").type),
+                ],
+                schema=schema,
+            )
+
+
+def _train_long(rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, tasks: int) -> DataFrame:
+    """Series that are too long to be held: a folder of pieces for few of them, and a
+    task for a folder."""
+    spark, keys = rows.sparkSession, list(spec.keys)
+    base, many = new_path(spark, "training"), min(MAX_TASKS, 4 * tasks)
+    cut = _training_pieces(rows, spec, cfg, tasks)
+    number = F.pmod(F.xxhash64(*keys), F.lit(many)).cast("int") if keys else F.lit(0)
+    numbers = _stored(cut.withColumn("bin", number).select("bin", *keys, "piece", "scaler", "xs", "ys"), "bin", [*keys, "piece"], many, f"{base}/pieces")
+    schema = _with_fields(
+        _key_schema(rows, spec), f"params array<double>, updater array<double>, scaler {SCALER}, history {HISTORY}"
     )
+    net = cell.net_for(cfg, len(spec.values), len(spec.targets))
+    work = functools.partial(_fit_folders, cfg, net, spec.keys, _arrow(schema), base, _piece_batches(cfg), numbers)
+    return spark.range(0, len(numbers), 1, max(1, len(numbers))).mapInArrow(work, schema)
 
 
-def field_array(row: pa.RecordBatch, name: str) -> np.ndarray:
-    return row.column(name).flatten().to_numpy(zero_copy_only=False)
+# --- one network by parameter averaging ------------------------------------------
 
 
-def _average(steps: DataFrame, pool: list[str]) -> DataFrame:
-    """(pool, params, updater): means over the tasks, weighted by their number of
-    mini-batches and added in task order, so that a rerun gives the same digits.
-    A row of weight 0 is the start; it counts only where nothing was trained.
-    A group has one row per task, whatever the amount of data."""
-    cells = F.struct("partition", "weight", "params", "updater")
-    listed = steps.groupBy(*pool).agg(F.sort_array(F.collect_list(cells)).alias("l"))
-    weight = F.aggregate("l", F.lit(0.0), lambda a, e: a + e["weight"])
+# Bits after the point of sums of parameters. Every double from 2^-8 on is exact.
+_POINT = 60
 
-    def mean(name: str):
-        start = F.get("l", F.lit(0))[name]
-        zeros = F.transform(start, lambda _: F.lit(0.0))
-        add = lambda a, e: F.zip_with(a, e[name], lambda p, q: p + e["weight"] * q)
-        total = F.aggregate("l", zeros, add)
-        return F.when(weight > 0, F.transform(total, lambda v: v / weight)).otherwise(start)
 
-    return listed.select(*pool, mean("params").alias("params"), mean("updater").alias("updater"))
+def _exact(values: np.ndarray, weight: int) -> list[int] | None:
+    """The values times a whole weight, in units of 2^-60; None if one is no number."""
+    scaled = values * float(1 << _POINT)
+    if not np.isfinite(scaled).all():
+        return None
+    return [weight * round(v) for v in scaled.tolist()]
 
 
-def _train_rounds(
-    rows: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, pool_by: tuple[str, ...], rounds: int, tasks: int
-) -> Trained:
-    """Parameter averaging over the series of `rows`, one network per pool."""
-    spark = rows.sparkSession
-    pool = list(pool_by)
-    # A piece is what a task trains between two averages.
-    each = cfg.averaging_frequency * cfg.batch
-    cut = pieces(rows, spec, each, cfg.window, in_training(cfg), F.col("n_train") * cfg.batch, tasks)
-    base = new_path(spark, "training")
-    # Written once, sorted by round: a round reads its own pages of each file.
-    place = [*spec.keys, "piece"]
-    shuffled = F.pmod(F.xxhash64(*place), F.lit(rounds)).cast("int").alias("round")
-    units = settled(
-        cut.select(*place, shuffled, "xs", "ys", "scaler").sortWithinPartitions("round", *place), f"{base}/units"
-    )
-    net = cell.net_for(cfg, len(spec.values), len(spec.targets))
-    schema = _with_fields(
-        [T.StructField(k, rows.schema[k].dataType) for k in pool],
-        "params array<double>, updater array<double>, weight bigint, partition int, "
-        "n_windows bigint, loss double, fit_ms bigint",
-    )
-    steps_path = f"{base}/steps"
-    initial = [F.lit(net.initial(cfg.seed)).alias("params"), F.lit(np.zeros(net.size)).alias("updater")]
-    ends = []
-    for wave, waves, names in _waves(units, pool, net.size):
-        params = names.select(*pool, *initial) if pool else spark.range(1).select(*initial)
-        mine = units if waves == 1 else units.where(F.pmod(F.xxhash64(*pool), F.lit(waves)) == wave)
-        for tick in range(cfg.epochs * rounds):
-            epoch, number = divmod(tick, rounds)
-            todo = mine.where(F.col("round") == number)
-            if pool:
-                todo = todo.join(F.broadcast(params), pool)  # bounded by _waves
-                start = None
-            else:
-                one = params.first()
-                start = (one["params"], one["updater"])
-                # Not to average a second time for the row that is kept.
-                params = spark.createDataFrame([start], START)
-            work = functools.partial(_local_steps, cfg, net, pool_by, _arrow(schema), tick, start)
-            done = todo.mapInArrow(work, schema)
-            kept = params.select(
-                *pool, "params", "updater", F.lit(0).cast("bigint").alias("weight"), F.lit(-1).alias("partition"),
-                F.lit(0).cast("bigint").alias("n_windows"), F.lit(0.0).alias("loss"),
-                F.lit(0).cast("bigint").alias("fit_ms"),
-            )
-            path = f"{steps_path}/wave={wave}/epoch={epoch}/round={number}"
-            params = _average(settled(done.unionByName(kept), path), pool)
-        ends.append(params)
-    final = functools.reduce(DataFrame.unionByName, ends)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    stats = (
-        spark.read.schema(f"{fields}, wave int, epoch int, round int").parquet(steps_path).where("partition >= 0")
-        if cfg.epochs
-        else spark.createDataFrame([], f"{fields}, wave int, epoch int, round int")
-    ).select(*pool, "epoch", "round", "partition", "n_windows", "loss", "fit_ms")
-    if pool:
-        scalers = units.groupBy(*spec.keys).agg(F.first("scaler").cast(SCALER).alias("scaler"))
-        final = final.join(scalers, pool)
-    else:
-        final = final.withColumn("scaler", F.lit(None).cast(SCALER))
-    # The log of a pool in its model: one entry per epoch.
-    by_epoch = stats.groupBy(*pool, "epoch").agg(
-        F.sum("n_windows").alias("n_windows"),
-        (F.sum(F.col("loss") * F.col("n_windows")) / F.sum("n_windows")).alias("loss"),
-        F.sum("fit_ms").alias("fit_ms"),
-    )
-    entry = F.struct(
-        "epoch", F.lit(0).alias("round"), F.lit(-1).alias("partition"), "n_windows", "loss", "fit_ms"
-    )
-    log = by_epoch.groupBy(*pool).agg(F.sort_array(F.collect_list(entry)).cast(HISTORY).alias("history"))
-    if pool:
-        final = final.join(log, pool, "left")
-    else:
-        one = log.first()
-        final = final.withColumn(
-            "history", F.from_json(F.lit(_json(one)), HISTORY) if one else F.array().cast(HISTORY)
-        )
-    return Trained(final.select(*pool, "params", "updater", "scaler", "history"), stats)
+def _summed(parts: list[list[int] | None]) -> list[int] | None:
+    return None if any(p is None for p in parts) else [sum(p) for p in zip(*parts)]
+
 
+def _mean(total: list[int] | None, weight: int, size: int) -> np.ndarray:
+    """Of exact sums; the division rounds once."""
+    if total is None:
+        return np.full(size, np.nan)
+    return np.array([v / (weight << _POINT) for v in total])
 
-def _json(row) -> str:
-    return json.dumps([e.asDict() for e in row["history"]])
 
+class _Shard:
+    """Mini-batches of a shard in order, some at a time."""
 
-def _waves(units: DataFrame, pool: list[str], size: int):
-    """Pools in groups whose parameters fit into PARAMETER_BYTES, each trained
-    on its own: (number, how many, names of the pools)."""
-    if not pool:
-        yield 0, 1, None
-        return
-    names = units.select(*pool).distinct()
-    count = names.count()
-    waves = max(1, min(count, -(-count * size * 16 // PARAMETER_BYTES)))
-    for wave in range(waves):
-        yield wave, waves, names.where(F.pmod(F.xxhash64(*pool), F.lit(waves)) == wave)
+    def __init__(self, cfg: ForecastConfig, net: cell.Net, folder: str):
+        self.cfg, self.net = cfg, net
+        self.stream = (b for row in files.table_rows(folder, ["xs", "ys"], 1) for b in _mini_batches(cfg, net, row))
+
+    def fit(self, start: tuple[np.ndarray, np.ndarray], ticks: range) -> tuple[np.ndarray, np.ndarray, float]:
+        """Parameters and updater after the next mini-batches, and their losses."""
+        theta, memory, loss = start[0][None].copy(), start[1][None].copy(), 0.0
+        for tick in ticks:
+            x, y = next(self.stream)
+            loss += float(cell.fit_batch(self.cfg, self.net, theta, memory, x, y, tick)[0])
+        return theta[0], memory[0], loss
+
+
+def _stretch(count: int, number: int, rounds: int, each: int | None) -> range:
+    """Mini-batches of a shard of `count` in one round: `each`, or a share of all."""
+    if each:
+        return range(min(count, number * each), min(count, (number + 1) * each))
+    return range(count * number // rounds, count * (number + 1) // rounds)
+
+
+def _fit_shards(
+    cfg: ForecastConfig, net: cell.Net, base: str, counts: dict[int, int], rounds: int, each: int | None, schema: pa.Schema,
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[pa.RecordBatch]:
+    """A barrier task: trains every `tasks`-th shard. The first task stores the state
+    after each epoch, returns the model in the end, and all go on from the newest
+    state after a loss."""
+    context = BarrierTaskContext.get()
+    tasks, me = len(context.getTaskInfos()), context.partitionId()
+    for _ in batches:
+        pass
+    state = f"{base}/state"
+    own = [s for i, s in enumerate(sorted(counts)) if i % tasks == me]
+    newest = max(files.names(state), default="") if me == 0 else ""
+    newest = _exchanged(context, tasks, [newest])[0][0]
+    epoch, theta, memory, history = 0, net.initial(cfg.seed), np.zeros(net.size), []
+    if newest:
+        epoch, theta, memory, history = pickle.loads(files.get(state, newest))
+    while epoch < cfg.epochs:
+        shards = {s: _Shard(cfg, net, f"{base}/pieces/shard={s}") for s in own}
+        logs, losses, started = [], 0, time.monotonic()
+        for number in range(rounds):
+            parts = []
+            for s in own:
+                at = _stretch(counts[s], number, rounds, each)
+                if not at:
+                    continue
+                begun = time.monotonic()
+                ticks = range(((epoch * (max(counts) + 1) + s) << 32) + at.start, ((epoch * (max(counts) + 1) + s) << 32) + at.stop)
+                fitted = shards[s].fit((theta, memory), ticks)
+                parts.append((len(at), _exact(fitted[0], len(at)), _exact(fitted[1], len(at))))
+                losses += round(fitted[2] * float(1 << _POINT)) if math.isfinite(fitted[2]) else 0
+                logs.append((epoch, number, s, len(at) * cfg.batch, fitted[2] / len(at), int(1000 * (time.monotonic() - begun))))
+            told = [sum(p[0] for p in parts), *(_summed([p[i] for p in parts]) for i in (1, 2))]
+            heard = [h for h in _exchanged(context, tasks, told) if h[0]]
+            weight = sum(h[0] for h in heard)
+            if weight:
+                theta = _mean(_summed([h[1] for h in heard]), weight, net.size)
+                memory = _mean(_summed([h[2] for h in heard]), weight, net.size)
+        _put_log(f"{base}/stats", f"{epoch:06d}-{me:06d}.parquet", logs)
+        spent = int(1000 * (time.monotonic() - started))
+        heard = _exchanged(context, tasks, [losses, spent])
+        n = sum(counts.values())
+        history = [*history, {
+            "epoch": epoch, "round": 0, "partition": -1, "n_windows": n * cfg.batch,
+            "loss": sum(h[0] for h in heard) / (max(1, n) << _POINT), "fit_ms": sum(h[1] for h in heard),
+        }]
+        epoch += 1
+        if me == 0:
+            files.put(state, f"{epoch:06d}", pickle.dumps((epoch, theta, memory, history)))
+    if me == 0:
+        yield pa.RecordBatch.from_arrays([pa.array([theta.tolist()]), pa.array([memory.tolist()]), pa.array([history], schema.field("history").type)], schema=schema)
+
+
+def _exchanged(context: BarrierTaskContext, tasks: int, told: list) -> list[list]:
+    """What each task says."""
+    if tasks == 1:
+        return [told]
+    return [json.loads(m) for m in context.allGather(json.dumps(told))]
+
+
+def _put_log(folder: str, name: str, logs: list[tuple]) -> None:
+    columns = list(zip(*logs)) if logs else [()] * 6
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int64())
+    table = pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in STATS.split(", ")])
+    out = pa.BufferOutputStream()
+    pq.write_table(table, out)
+    files.put(folder, name, out.getvalue().to_pybytes())
 
 
 def train_pooled(
@@ -372,21 +462,38 @@ def train_pooled(
     rounds_per_epoch: int | None = None,
     on_error: str = "raise",
     model_id: str | None = None,
+    tasks: int | None = None,
 ) -> Trained:
     """One network for all series, each scaled by its own range.
 
-    By default, an epoch has as many rounds as it takes for every task to train
-    `cfg.averaging_frequency` mini-batches per round. On a big cluster each round
-    is a job, so prefer `rounds_per_epoch=1` there: tasks then pass over all
-    their pieces between two averages. Runs at once; `models` has one row and
-    `stats` one per epoch, round and task."""
-    lanes, tasks = prepare(df, spec, cfg, on_error)
-    if rounds_per_epoch is None:
-        batches = plan_columns(F.col("n"), cfg)["n_train"]
-        each = F.ceil(batches / cfg.averaging_frequency)
-        sizes = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
-        total = sizes.where(plan_error(F.col("n"), cfg).isNull()).agg(F.sum(each)).first()[0]
-        rounds_per_epoch = max(1, -(-int(total or 0) // tasks))
-    trained = _train_rounds(lanes.union(), spec, cfg, (), rounds_per_epoch, tasks)
+    Pieces of series are dealt to `cfg.shards` shards by a hash. In a round each shard
+    trains `cfg.averaging_frequency` mini-batches, or its share of `rounds_per_epoch`
+    rounds; averages are weighted by mini-batches. The result depends on rows and
+    configuration only. `tasks` (by default one for `TASK_SHARDS` shards, at most as
+    many as run at once) must fit into the cluster together, as they form a barrier
+    stage, which Spark refuses with dynamic allocation. Runs at once; `models` has one row and
+    `stats` one per epoch, round and shard."""
+    spark = df.sparkSession
+    lanes, spread, total = prepare(df, spec, cfg, on_error)
+    shards = cfg.shards or max(LEAST_SHARDS, -(-total // SHARD_ROWS))
+    base, place = new_path(spark, "training"), [*spec.keys, "piece"]
+    cut = _training_pieces(lanes.union(), spec, cfg, spread)
+    cut = cut.withColumns({
+        "shard": F.pmod(F.xxhash64(*place), F.lit(shards)).cast("int"), "turn": F.xxhash64(F.lit("turn"), *place),
+        "n_batches": div((F.size("xs") / len(spec.values)).cast("bigint") - cfg.window, cfg.batch),
+    })
+    _stored(cut.select("shard", "turn", *place, "n_batches", "xs", "ys"), "shard", ["turn", *place], shards, f"{base}/pieces")
+    sums = spark.read.parquet(f"{base}/pieces").groupBy("shard").agg(F.sum("n_batches")).collect()  # a row a shard
+    counts = {r[0]: r[1] for r in sums}
+    each = None if rounds_per_epoch else cfg.averaging_frequency
+    rounds = rounds_per_epoch or max((-(-n // each) for n in counts.values()), default=0)
+    net = cell.net_for(cfg, len(spec.values), len(spec.targets))
+    schema = T.StructType.fromDDL(f"params array<double>, updater array<double>, history {HISTORY}")
+    work = functools.partial(_fit_shards, cfg, net, base, counts, rounds, each, _arrow(schema))
+    useful = min(spark.sparkContext.defaultParallelism, -(-len(counts) // TASK_SHARDS))
+    tasks = max(1, min(tasks or useful, len(counts)))
+    fitted = spark.range(0, tasks, 1, tasks).mapInArrow(work, schema, barrier=True)
+    model = settled(fitted, f"{base}/model").withColumn("scaler", F.lit(None).cast(SCALER))
+    stats = spark.read.schema(STATS).parquet(f"{base}/stats") if cfg.epochs else spark.createDataFrame([], STATS)
     bare = SeriesSpec(order=spec.order, values=spec.values, targets=spec.targets)
-    return Trained(_describe(trained.models, bare, cfg, model_id), trained.stats)
+    return Trained(_describe(model.select("params", "updater", "scaler", "history"), bare, cfg, model_id), stats)

@@ -1,4 +1,5 @@
 import dataclasses
+import uuid
 
 import numpy as np
 import pytest
@@ -99,30 +100,101 @@ def test_failing_series_raise_or_are_left_out(spark):
 # --- averaging --------------------------------------------------------------------
 
 
-def test_one_task_averages_to_plain_training(spark):
-    # Few enough mini-batches for a single piece, hence a single task.
+def test_one_shard_averages_to_plain_training(spark):
     data = spark_frame(spark, {"x": 90})
-    cfg = dataclasses.replace(CFG, averaging_frequency=50)
-    got = train.train_pooled(data, SPEC, cfg, rounds_per_epoch=1)
+    cfg = dataclasses.replace(CFG, averaging_frequency=2, shards=1)
+    for rounds in (None, 1, 3):
+        model = train.train_pooled(data, SPEC, cfg, rounds).models.first()
+        theta, memory, losses = alone(values_of("x", {"x": 90}), cfg)
+        np.testing.assert_allclose(model.params, theta, rtol=1e-9, atol=1e-12)
+        np.testing.assert_allclose(model.updater, memory, rtol=1e-9, atol=1e-12)
+        np.testing.assert_allclose([h.loss for h in model.history], losses, rtol=1e-9)
+
+
+def pooled_alone(spark, cfg, each, rounds=None):
+    """Averaging in a plain loop, from the definition: shards of pieces of `each` mini-batches."""
+    net = cell.net_for(cfg, 2, 2)
+    shards = {}
+    for name, n in LENGTHS.items():
+        (x, _, _), (y, _, _) = scaled(values_of(name), cfg)
+        lost, n_train, _ = plan(n, cfg)
+        for piece in range(-(-n_train // each)):
+            shards.setdefault(None, []).append((name, piece, x, y, lost, n_train))
+    places = spark.createDataFrame([p[:2] for p in shards[None]], "name string, piece bigint")
+    told = places.select("name", "piece", F.pmod(F.xxhash64("name", "piece"), F.lit(cfg.shards)).alias("s"), F.xxhash64(F.lit("turn"), "name", "piece").alias("t"))
+    where = {(r.name, r.piece): (r.s, r.t) for r in told.collect()}
+    lists = {}
+    for name, piece, x, y, lost, n_train in sorted(shards[None], key=lambda p: where[p[:2]]):
+        for k in range(piece * each, min(n_train, piece * each + each)):
+            starts = [lost + k * cfg.batch + b for b in range(cfg.batch)]
+            xs = np.stack([x[i : i + cfg.window] for i in starts], 1)[:, None]
+            lists.setdefault(where[name, piece][0], []).append((xs, np.stack([y[i + cfg.window] for i in starts])[None]))
+    theta, memory = net.initial(cfg.seed), np.zeros(net.size)
+    most = rounds or max(-(-len(v) // cfg.averaging_frequency) for v in lists.values())
+    for epoch in range(cfg.epochs):
+        for r in range(most):
+            ends = []
+            for s, batches in sorted(lists.items()):
+                f, n = cfg.averaging_frequency, len(batches)
+                part = batches[n * r // most : n * (r + 1) // most] if rounds else batches[r * f : r * f + f]
+                own, mem = theta[None].copy(), memory[None].copy()
+                for xs, ys in part:
+                    cell.fit_batch(cfg, net, own, mem, xs, ys, 0)
+                ends.append((len(part), own[0], mem[0]))
+            total = sum(e[0] for e in ends)
+            theta, memory = (sum(e[0] * e[i] for e in ends) / total for i in (1, 2))
+    return theta, memory
+
+
+@pytest.mark.parametrize("change,rounds", [({}, None), ({"updater": "RMSPROP", "averaging_frequency": 2}, None), ({"shards": 7, "updater": "ADAGRAD"}, 2)])
+def test_averages_equal_a_plain_loop(spark, df, monkeypatch, change, rounds):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    cfg = dataclasses.replace(CFG, **{"shards": 3, **change})
+    got = train.train_pooled(df, SPEC, cfg, rounds)
     model = got.models.first()
-    theta, memory, losses = alone(values_of("x", {"x": 90}), cfg)
-    np.testing.assert_allclose(model.params, theta, rtol=1e-9, atol=1e-12)
-    np.testing.assert_allclose(model.updater, memory, rtol=1e-9, atol=1e-12)
-    np.testing.assert_allclose([h.loss for h in model.history], losses, rtol=1e-9)
-
-
-def test_averages_are_weighted(spark):
-    rows = [
-        ("p", 0, 3, [1.0, 2.0], [0.0, 4.0]),
-        ("p", 1, 1, [5.0, 6.0], [8.0, 0.0]),
-        ("p", -1, 0, [100.0, 100.0], [100.0, 100.0]),
-        ("q", -1, 0, [7.0, 8.0], [9.0, 10.0]),
-    ]
-    steps = spark.createDataFrame(
-        rows, "k string, partition int, weight bigint, params array<double>, updater array<double>"
-    )
-    got = {r.k: (r.params, r.updater) for r in train._average(steps, ["k"]).collect()}
-    assert got == {"p": ([2.0, 3.0], [2.0, 3.0]), "q": ([7.0, 8.0], [9.0, 10.0])}
+    theta, memory = pooled_alone(spark, cfg, 3, rounds)
+    np.testing.assert_allclose(model.params, theta, rtol=1e-9, atol=1e-11)
+    np.testing.assert_allclose(model.updater, memory, rtol=1e-9, atol=1e-11)
+    # The log of the shards is that of the model.
+    sums = got.stats.groupBy("epoch").agg((F.sum(F.col("loss") * F.col("n_windows")) / F.sum("n_windows")).alias("loss")).orderBy("epoch").collect()
+    np.testing.assert_allclose([r.loss for r in sums], [h.loss for h in model.history], rtol=1e-9)
+
+
+def test_pooled_numbers_do_not_depend_on_tasks_and_lanes(spark, df, monkeypatch):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    cfg = dataclasses.replace(CFG, shards=13, dropout=0.7, epochs=2)
+    found = [train.train_pooled(df, SPEC, cfg, tasks=t).models.first() for t in (1, 2, 4, 8)]
+    found += [train.train_pooled(df.repartition(3), SPEC, dataclasses.replace(cfg, long_rows=n)).models.first() for n in (50, 135)]
+    assert all((r.params, r.updater) == (found[0].params, found[0].updater) for r in found)
+    assert all([h.loss for h in r.history] == [h.loss for h in found[0].history] for r in found)
+
+
+def test_exact_sums():
+    values = np.array([1.0, -3.5, 2.0**-8 / 3, 0.1, 1e12])
+    parts = [train._exact(values * w, 1) for w in (1, 2, 4)]
+    assert train._mean(train._summed(parts), 7, 5).tolist() == values.tolist()
+    assert train._mean(train._summed([parts[0], train._exact(np.array([np.nan, 0, 0, 0, 0]), 1)]), 2, 5).shape == (5,)
+    assert np.isnan(train._mean(None, 2, 5)).all() and train._summed([]) == []
+
+
+def jobs_of(spark, work):
+    sc, name = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(name, "counted")
+    try:
+        work()
+        return len(sc.statusTracker().getJobIdsForGroup(name))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_of_training_do_not_grow_with_rows_and_epochs(spark, df, monkeypatch):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    more = spark_frame(spark, {k: 3 * n for k, n in LENGTHS.items()}).cache()
+    more.count(), df.count()
+    pooled = lambda d, epochs: jobs_of(spark, lambda: train.train_pooled(d, SPEC, dataclasses.replace(CFG, epochs=epochs, shards=3)))
+    assert pooled(df, 1) == pooled(df, 4) == pooled(more, 2)
+    long = lambda d, epochs: jobs_of(spark, lambda: train.train_per_series(d, SPEC, dataclasses.replace(CFG, epochs=epochs, long_rows=50)).collect())
+    assert long(df, 1) == long(df, 4) == long(more, 2)
 
 
 def test_pooled_training_reads_every_example_once_per_epoch(spark, df):
@@ -135,21 +207,61 @@ def test_pooled_training_reads_every_example_once_per_epoch(spark, df):
     assert ahead.count() == len(LENGTHS) * CFG.steps
 
 
-def test_long_series_train_by_averaging(spark, df, models, monkeypatch):
-    cfg = dataclasses.replace(CFG, long_rows=135, averaging_frequency=100, epochs=2)
-    short = {r.name: r for r in train.train_per_series(df, SPEC, dataclasses.replace(CFG, epochs=2)).collect()}
-    got = {r.name: r for r in train.train_per_series(df, SPEC, cfg).collect()}
-    assert got.keys() == short.keys()
-    for name, r in got.items():
-        # One piece per series, so that averaging changes nothing.
-        np.testing.assert_allclose(r.params, short[name].params, rtol=1e-9, atol=1e-12)
-        assert r.scaler == short[name].scaler
-        assert [h.loss for h in r.history] == pytest.approx([h.loss for h in short[name].history])
-    # Parameters of few pools at a time.
-    monkeypatch.setattr(train, "PARAMETER_BYTES", 1)
-    waved = {r.name: r.params for r in train.train_per_series(df, SPEC, cfg).collect()}
-    for name, params in waved.items():
-        np.testing.assert_allclose(params, got[name].params, rtol=1e-12)
+def test_long_series_train_like_short_ones(spark, df, monkeypatch):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    for change in ({}, {"dropout": 0.8, "updater": "RMSPROP"}):
+        cfg = dataclasses.replace(CFG, **change)
+        short = {r.name: r for r in train.train_per_series(df, SPEC, cfg).collect()}
+        for long_rows in (50, 135):
+            got = {r.name: r for r in train.train_per_series(df, SPEC, dataclasses.replace(cfg, long_rows=long_rows)).collect()}
+            assert got.keys() == short.keys()
+            for name, r in got.items():
+                assert (r.params, r.updater, r.scaler) == (short[name].params, short[name].updater, short[name].scaler)
+                assert [h.loss for h in r.history] == pytest.approx([h.loss for h in short[name].history], rel=1e-12)
+                assert [h.n_windows for h in r.history] == [h.n_windows for h in short[name].history]
+
+
+def test_long_series_without_keys_and_without_epochs(spark, monkeypatch):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    data = spark_frame(spark, {"x": 150}).drop("name")
+    spec = SeriesSpec(order="at", values=("a", "b"))
+    for epochs in (0, 2):
+        one, two = (train.train_per_series(data, spec, dataclasses.replace(CFG, epochs=epochs, long_rows=n)).first() for n in (10_000, 40))
+        assert (one.params, one.updater) == (two.params, two.updater) and len(two.history) == epochs
+
+
+def test_interrupted_training_goes_on(spark, df, monkeypatch, tmp_path):
+    monkeypatch.setattr(train, "PIECE_EXAMPLES", 24)
+    monkeypatch.setattr(train, "STORE_BATCHES", 5)
+    net = cell.net_for(CFG, 2, 2)
+    lanes, tasks, _ = train.prepare(df, SPEC, CFG)
+    cut = train._training_pieces(lanes.union(), SPEC, CFG, tasks).withColumn("bin", F.lit(0))
+    paths = [str(tmp_path / n) for n in ("whole", "broken")]
+    for path in paths:
+        train._stored(cut.select("bin", "name", "piece", "scaler", "xs", "ys"), "bin", ["name", "piece"], 1, f"{path}/pieces")
+    whole = train._fit_folder(CFG, net, ("name",), paths[0], 3, 0, 0)
+    steps, real = [], cell.fit_batch
+
+    def failing(*args):
+        steps.append(args[-1])
+        if len(steps) % 17 == 0:
+            raise OSError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(cell, "fit_batch", failing)
+    attempts, broken = 0, None
+    while broken is None:
+        attempts += 1
+        try:
+            broken = train._fit_folder(CFG, net, ("name",), paths[1], 3, 0, 0)
+        except OSError:
+            pass
+    batches = CFG.epochs * sum(plan(n, CFG)[1] for n in LENGTHS.values())
+    # Each attempt repeats what came after the last stored state, and no more.
+    assert attempts > 5 and batches < len(steps) < batches + attempts * 12
+    for (_, a), (_, b) in zip(whole, broken):
+        assert a["theta"].tolist() == b["theta"].tolist() and a["memory"].tolist() == b["memory"].tolist()
+        assert [h["loss"] for h in a["history"]] == [h["loss"] for h in b["history"]]
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -192,13 +304,11 @@ def test_heads_equal_slot_zero_of_whole_batches(spark, df, warm, batch, window):
                 np.testing.assert_allclose(r.yhat, y, rtol=1e-9, atol=1e-9)
 
 
-def test_series_between_short_and_named_ones(spark, df, models, monkeypatch):
-    cfg = dataclasses.replace(CFG, long_rows=100, averaging_frequency=100)
+def test_long_series_without_broadcasts(spark, df, models, monkeypatch):
+    cfg = dataclasses.replace(CFG, long_rows=100)
     want = {(r.name, r.batch): r.yhat for r in score.score_heads(df, models, SPEC, CFG).collect()}
     plain = {(r.name, r.i): r.yhat for r in score.score_windows(df, models, SPEC, CFG).collect()}
-    monkeypatch.setattr(position, "MAX_LONG", 4)
-    lanes, _ = __import__("tempolane.plans.prepare", fromlist=["prepare"]).prepare(df, SPEC, cfg)
-    assert lanes.middle is not None and lanes.middle.select("name").distinct().count() == 2
+    monkeypatch.setattr(position, "SENT_BYTES", 0)
     got = {(r.name, r.batch): r.yhat for r in score.score_heads(df, models, SPEC, cfg, piece_batches=4).collect()}
     assert got.keys() == want.keys()
     for key in want:
@@ -207,7 +317,36 @@ def test_series_between_short_and_named_ones(spark, df, models, monkeypatch):
     assert stateless == plain
     trained = {r.name: r.params for r in train.train_per_series(df, SPEC, cfg).collect()}
     for r in models.collect():
-        np.testing.assert_allclose(trained[r.name], r.params, rtol=1e-9, atol=1e-12)
+        assert trained[r.name] == r.params
+
+
+@pytest.mark.parametrize("warm", [True, False])
+def test_states_that_are_not_forgotten_are_relayed(spark, df, models, warm):
+    """Forget gates near 1: a guess never wears off."""
+    net = cell.net_for(CFG, 2, 2)
+
+    def open_gates(params):
+        theta = np.array([params])
+        net.parts(theta)["b"][:, :, net.hidden : 2 * net.hidden] = 9.0
+        return theta[0].tolist()
+
+    rows = [(r.name, open_gates(r.params), r.inputs, r.targets) for r in models.collect()]
+    lasting = spark.createDataFrame(rows, "name string, params array<double>, inputs array<string>, targets array<string>")
+    cfg = dataclasses.replace(CFG, long_rows=50)
+    score_long = lambda d, m, spec: score.score_heads(d, m, spec, cfg, warm, piece_batches=1)
+    want = {(r.name, r.batch): r.yhat for r in score.score_heads(df, lasting, SPEC, CFG, warm).collect()}
+    found = []
+    jobs = jobs_of(spark, lambda: found.extend(score_long(df, lasting, SPEC).collect()))
+    for r in found:
+        np.testing.assert_allclose(r.yhat, want[r.name, r.batch], rtol=1e-9, atol=1e-9)
+    assert len(found) == len(want)
+    more = spark_frame(spark, {k: 3 * n for k, n in LENGTHS.items()}).cache()
+    assert jobs_of(spark, lambda: score_long(more, lasting, SPEC).collect()) <= jobs + 1
+    # A single series without keys.
+    one, spec = df.where("name = 'z'").drop("name"), SeriesSpec(order="at", values=("a", "b"))
+    alone_ = score_long(one, lasting.where("name = 'z'").drop("name"), spec).collect()
+    for r in alone_:
+        np.testing.assert_allclose(r.yhat, want["z", r.batch], rtol=1e-9, atol=1e-9)
 
 
 def test_unkeyed_series_long_and_short(spark):

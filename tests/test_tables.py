@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempolane import ForecastConfig, SeriesSpec
-from tempolane.functions.columns import order_number, with_range
 from tempolane.operators import heads, overlay, plan, position, scaling, select, windows
 from tempolane.sources import series
 from tests.series_data import SPEC, frame, plan as plan_of, scaled, spark_frame
@@ -43,8 +42,6 @@ def test_every_kind_of_order_column(spark, order):
     want = frame({"x": 300}).sort_values("at")
     assert (got["a"].to_numpy() == want["a"].to_numpy()).all()
     assert got["pos"].tolist() == list(range(300))
-    number = order_number("at", df.schema["at"].dataType)
-    assert df.select(number.alias("v")).distinct().count() > 100
 
 
 def test_rows_of_one_moment_do_not_upset_the_ranges(spark):
@@ -61,27 +58,41 @@ def test_no_long_group_reaches_one_task(spark):
     text = lanes.long._jdf.queryExecution().toString()
     assert "_tl_range" in text and "BroadcastHashJoin" in text
     assert lanes.names.count() == 1
-    number = order_number("at", df.schema["at"].dataType)
-    edges = position._range_edges(df.where("name = 'hot'"), number, 20)
-    sizes = (
-        with_range(df.where("name = 'hot'"), number, edges, "r").groupBy("r").count().agg(F.max("count")).first()[0]
-    )
-    assert sizes < 200
-
-
-def test_number_of_named_series_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(position, "MAX_LONG", 3)
-    df = spark_frame(spark, {f"s{k:02d}": 40 + k for k in range(12)} | {"hot": 600})
+    sizes = largest_ranges(df.where("name = 'hot'"), SPEC, 20)
+    assert len(sizes) >= 18 and max(sizes) < 200
+
+
+def largest_ranges(df, spec, ranges):
+    laid = position._ranged(df.select(*dict.fromkeys((*spec.keys, *spec.order, *spec.values))), spec, ranges)
+    return sorted(r[0] for r in laid.groupBy("_tl_range").agg(F.count(F.lit(1))).select("count(1)").collect())
+
+
+@pytest.mark.parametrize("kind", ["iso text", "hot first column", "many series"])
+def test_ranges_are_even_and_positions_exact(spark, kind):
+    """Each in ranges of about the same size, whatever the order column holds."""
+    if kind == "many series":  # each barely long, so that most lie within a range
+        df, spec = spark.range(200_000).selectExpr("id % 20000 AS name", "xxhash64(id) AS at", "id * 1.0D AS a"), SeriesSpec("at", "a", "name")
+    else:
+        df = spark.range(20_000).selectExpr("'x' AS name", "xxhash64(id) AS h", "id * 1.0D AS a")
+        tail = F.lpad(F.pmod("h", F.lit(10**9)).cast("string"), 9, "0")
+        df = df.withColumn("text", F.concat(F.lit("2024-01-01T00:00:00."), tail, F.col("a").cast("string")))
+        hot = F.when(F.pmod("h", F.lit(10)) > 0, 7).otherwise(F.pmod("h", F.lit(1000)))
+        df = df.withColumn("hot", hot)
+        spec = SeriesSpec("text" if kind == "iso text" else ("hot", "h", "a"), "a", "name")
+    sizes = largest_ranges(df, spec, 16)
+    assert len(sizes) == 16 and sizes[-1] < 2 * sum(sizes) / 16
+    short, long = (position.with_position(df, spec, long_rows=n) for n in (10**9, 9))
+    assert long.exceptAll(short).count() == 0 == short.exceptAll(long).count()
+
+
+def test_tables_of_long_series_are_sent_by_their_size(spark, monkeypatch):
+    df = spark_frame(spark, {f"s{k:02d}": 40 + k for k in range(12)} | {"hot": 600, "tiny": 5})
+    want = rows_of(position.with_position(df, SPEC), "name", "pos")
+    assert rows_of(position.with_position(df, SPEC, 20), "name", "pos") == want
+    monkeypatch.setattr(position, "SENT_BYTES", 0)
     lanes = position.position_lanes(df, SPEC, 20)
-    assert lanes.names.count() <= 3
-    assert rows_of(lanes.union(), "name", "pos") == rows_of(position.with_position(df, SPEC), "name", "pos")
-
-
-@pytest.mark.parametrize("edges", [[], [3.0], [1.0, 2.5, 2.75, 9.0, 11.0], [float(k) for k in range(8)]])
-def test_range_is_a_count_of_edges(spark, edges):
-    numbers = spark.range(-2, 14).select((F.col("id") * 1.0).alias("v"))
-    for v, r in with_range(numbers, F.col("v"), edges, "r").collect():
-        assert r == sum(e <= v for e in edges)
+    assert "ResolvedHint" not in lanes.long._jdf.queryExecution().logical().toString()
+    assert lanes.names.count() == 13 and rows_of(lanes.union(), "name", "pos") == want
 
 
 def test_null_keys_and_values_are_refused(spark):
