@@ -176,7 +176,9 @@ def position_lanes(
     df = df.select(*dict.fromkeys((*spec.keys, *spec.order, *spec.values)))
     sizes = sizes or measure(df, spec)
     lanes, rows = cut_by_length(df, spec, long_rows, sizes)
-    ranges = min(MAX_TASKS, max(2, -(-rows // min(long_rows, TASK_ROWS))))
+    # For tasks of a fit size; with fewer rows, for some of each core.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    ranges = min(MAX_TASKS, max(2, -(-rows // TASK_ROWS), min(-(-rows // long_rows), 4 * cores)))
     return lanes.map(
         lambda d: shape(_number_short(d, spec, partitions)), lambda d: shape(_number_long(d, spec, ranges, lanes))
     )
