@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, phrases, quality, sentencepieces, tokenfiles, turnrepair, urlrules, warc
+from tempolane.llm import hashforest, licenses, linededup, mixing, ngramjoin, passages, phrases, quality, sentencepieces, tokenfiles, turnrepair, urlrules, warc
 from tempolane.sources.shared import new_path, send_package
 
 
@@ -66,6 +66,12 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = passages.learn(docs, _table(spark, sf_dir, "labels"))
+    return passages.score(docs, model).drop("text")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
@@ -78,7 +84,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_warc, op3_token_files, op4_mixing, op5_quality, op6_hash_forest, op7_line_dedup,
-        op8_ngram_join, op9_url_rules, op10_licenses, op12_collocations, op13_turn_repair,
+        op8_ngram_join, op9_url_rules, op10_licenses, op11_quality_attention, op12_collocations, op13_turn_repair,
     )
 }
 
