@@ -96,7 +96,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10, key: str = "vec_id", vecto
     distance in double precision; ties go to the smaller id. A row is never its
     own candidate, nor is another row of the same id. Vectors that are null, zero
     or hold null or non-finite components take no part, nor do null ids. All must
-    have one length. Equal vectors are one entry of a shard with their k + 1
+    have one length. Repeated rows count once. Equal vectors are one entry of a shard with their k + 1
     smallest ids, which no answer can need more of, so a vector that a third of
     all rows share is as cheap as any. With fewer than k candidates all are given.
     Small shards are searched whole, so small tables have exact answers.
@@ -109,12 +109,14 @@ def nearest(vectors: DataFrame, queries, k: int = 10, key: str = "vec_id", vecto
 
 
 def _fewest(rows: DataFrame, k: int) -> DataFrame:
-    """Of equal vectors the rows with the k + 1 smallest ids."""
+    """Each different (id, vector) once; of equal vectors those with the k + 1 smallest ids."""
     mark, salt = F.xxhash64("v"), F.pmod(F.xxhash64("id"), F.lit(64))
     marked = rows.withColumn("mark", mark).withColumn("salt", salt)
+    same = Window.partitionBy("mark", "salt", "id").orderBy("id")
     first = Window.partitionBy("mark", "salt").orderBy("id")
     then = Window.partitionBy("mark").orderBy("id")
-    some = marked.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
+    some = marked.withColumns({"copy": F.row_number().over(same), "nth": F.dense_rank().over(first)})
+    some = some.filter((F.col("copy") == 1) & (F.col("nth") <= k + 1))
     return some.withColumn("nth", F.row_number().over(then)).filter(F.col("nth") <= k + 1).select("id", "v")
 
 
@@ -127,7 +129,7 @@ def _search(rows: DataFrame, queries, k: int, shard_rows: int) -> DataFrame:
     sent = spark.sparkContext.broadcast(planes)
     # Within salts first, so that no task sees all rows of a common vector.
     base = _fewest(rows, k)
-    asked = rows.filter(queries)
+    asked = rows.filter(queries).distinct()
     n, m = rows.count(), asked.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // QUERY_ROWS))
     # Every block of queries meets every shard: rows are repeated by the number of
@@ -136,7 +138,8 @@ def _search(rows: DataFrame, queries, k: int, shard_rows: int) -> DataFrame:
         F.pmod(F.hash("id"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v"
     )
     asked = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("id"), F.lit(blocks)).alias("block"), "id", "v"
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("id"), F.lit(blocks)).alias("block"),
+        F.col("id").alias("id"), F.col("v").alias("v"),
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
