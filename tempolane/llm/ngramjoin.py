@@ -31,7 +31,8 @@ WORDS = 5
 PERCENT = 75
 BLOCK = 4096
 LONG = 40  # percent of a set, smallest hashes first, that candidates are found by
-SENT_NODES = 2_000_000  # candidates whose numbers may be sent to all tasks; beyond, a join
+SENT_BYTES = 32 << 20  # keys of candidates that may be sent to all tasks; beyond, a shuffle joins them
+SMALL = 200  # sizes up to which what a prefix must share is computed exactly
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -115,6 +116,26 @@ def _long_prefix(n, percent: int):
     return np.maximum(_prefix(n, percent), -(-n * LONG // 100))
 
 
+def least_shared(n: int, percent: int) -> int:
+    """How many n-grams the long prefixes of a set of n and of any partner share at
+    least: of the o that both sets hold, the first j ones stand in a prefix if the
+    others, all before them at worst, leave room for them there."""
+    least = n
+    for m in range(-(-n * percent // 100), n * 100 // percent + 1):
+        o = -(-percent * (n + m) // (100 + percent))
+        if o <= min(n, m):
+            room = [int(_long_prefix(np.int64(x), percent)) - (x - o) for x in (n, m)]
+            least = min(least, o, *room)
+    return max(1, least)
+
+
+def _least_shared(n, percent: int):
+    """The same for a column; above `SMALL` by the linear bound below it."""
+    table = F.lit([0] + [least_shared(x, percent) for x in range(1, SMALL + 1)])
+    linear = F.greatest(F.lit(1).cast("long"), F.floor(n * (LONG + percent - 100) / 100))
+    return F.when(n <= SMALL, F.get(table, n.cast("int")).cast("long")).otherwise(linear)
+
+
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
@@ -171,11 +192,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     met = tokens.filter("token IS NOT NULL").select("token", "node").withColumn("times", times).filter("times > 1 AND node IS NOT NULL")
     met = met.select("node", F.lit(1).cast("long").alias("shared")).union(tokens.filter("token IS NULL").select("node", "shared"))
     met = met.groupBy("node").agg(F.sum("shared").alias("shared"))
-    # A partner lacks at most n - ceil(percent * n / 100) n-grams of a set, wherever they stand.
-    lacks = F.expr(f"n - (n * {percent} + 99) div 100")
     wanted = keep(
         met.join(nodes.select(F.col("node").alias("k"), "n").dropDuplicates(["k"]), F.col("node") == F.col("k"))
-        .filter(F.col("shared") >= F.greatest(lacks + 1, F.expr(f"(n * {LONG} + 99) div 100")) - lacks).select("node"), "candidates",
+        .filter(F.col("shared") >= _least_shared(F.col("n"), percent)).select("node"), "candidates",
     )
     sets = keep(_sets_of(source, light, wanted, rows_of), "candidate_sets")
 
@@ -211,23 +230,14 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
 
 def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) -> DataFrame:
     """(node, n, tokens) of the candidates, each node once, by its first row."""
-    spark = source.sparkSession
-    if wanted.count() <= SENT_NODES:
-        sent = spark.sparkContext.broadcast(np.sort(np.array([r["node"] for r in wanted.select("node").toLocalIterator()], dtype=np.int64)))
-        chosen = source
-    else:
-        sent = None
-        keys = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).select(F.col("key").alias("kk")).distinct()
-        chosen = source.join(keys, F.col("key").eqNullSafe(F.col("kk")), "left_semi")
+    one = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).groupBy("node").agg(F.min("key").alias("kk"))
+    keys = settled(one.select("kk").distinct(), new_path(source.sparkSession, "candidate_keys"))
+    sent = F.broadcast(keys) if keys.count() * 16 <= SENT_BYTES else keys
+    chosen = source.join(sent, F.col("key").eqNullSafe(F.col("kk")), "left_semi")
 
     def sets(batches):
         for _, grams, counts, (one, _) in rows_of(batches):
             good = counts > 0
-            if sent is not None:
-                known = sent.value
-                if not len(known):
-                    continue
-                good &= known[np.minimum(np.searchsorted(known, one), len(known) - 1)] == one
             _, first = np.unique(one, return_index=True)
             once = np.zeros(len(one), dtype=bool)
             once[first] = True
@@ -239,6 +249,8 @@ def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) ->
             )
 
     found = chosen.mapInArrow(sets, "node long, n long, tokens array<long>")
+    # Rows of one key may hold other texts than the one that was asked for.
+    found = found.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left_semi")
     return found.dropDuplicates(["node"])
 
 
