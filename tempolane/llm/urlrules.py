@@ -1,7 +1,7 @@
 """URL filter: host/path rules first, then pattern rules found by a literal token.
 
 A pattern rule is a regular expression together with the literal tokens that any
-url matching it must contain. Rules are indexed by the one of their tokens that
+url matching it must contain whole: what the pattern bounds on either side. Rules are indexed by the one of their tokens that
 the fewest urls hold; a url fetches the rules of its own tokens, and only those
 run. The rule tables are parameters, held within `MAX_RULES`, and so may be
 broadcast.
@@ -36,7 +36,7 @@ PATTERN_RULES = (
     (r"(^|[./-])ads?-tracker\.", ("tracker",), "block"),
     (r"(^|[./-])ads?-tracking\.", ("tracking",), "block"),
     (r"[?&]utm_source=feed(&|#|$)", ("utm", "source", "feed"), "allow"),
-    (r"/wp-login\.php", ("wp", "login", "php"), "block"),
+    (r"/wp-login\.php", ("wp", "login"), "block"),  # php may go on
     (r"/(porn|xxx)/", (), "block"),
 )
 
