@@ -5,6 +5,19 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+MOST_TASKS = 50_000  # of a stage that has one for each file
+
+
+def slots(spark: SparkSession, parts: int) -> list[int]:
+    """For each of `parts` partitions a number that hash partitioning puts there, so
+    that what is numbered already is dealt evenly."""
+    tried = spark.range(0, 24 * parts + 200).select(F.col("id").cast("int").alias("x"))
+    found = tried.groupBy(F.pmod(F.hash("x"), F.lit(parts)).alias("p")).agg(F.min("x").alias("x")).collect()
+    by_part = {r["p"]: r["x"] for r in found}
+    return [by_part.get(p, 0) for p in range(parts)]
 
 
 def store(folder: str) -> tuple[fs.FileSystem, str]:

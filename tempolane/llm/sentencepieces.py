@@ -24,8 +24,8 @@ from tempolane.llm.text import free_name
 MARK = "\u2581"  # stands for a space in the vocabulary
 NONE = np.iinfo(np.int64).max
 BATCH_BYTES = 4 << 20
-# Words kept with their ids between batches of a worker, and from when on a word is merged alone.
-KEPT_WORDS = 600_000
+# Bytes of words kept with their ids between batches of a worker, and from when on a word is merged alone.
+KEPT_BYTES = 128 << 20
 LONG_WORD = 512
 
 
@@ -245,31 +245,49 @@ class Pieces:
 
 
 class Kept:
-    """Words met so far in a worker, with their ids in flat arrays."""
+    """Words met so far in a worker, with their ids in flat arrays that grow in strides.
+
+    Cleared at `KEPT_BYTES`, so that a text without spaces, whose words are long and
+    met once, costs no more than others."""
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, dtype=np.int32)
-        self.starts = self.counts = np.zeros(0, dtype=np.int64)
+        self.size = self.used = 0
+        self.ids = np.zeros(1 << 16, dtype=np.int32)
+        self.starts = np.zeros(1 << 14, dtype=np.int64)
+        self.counts = np.zeros(1 << 14, dtype=np.int64)
 
     def numbers(self, words: list[str], vocabulary: Pieces) -> np.ndarray:
         known = self.number
-        if len(known) > KEPT_WORDS:  # what is needed again is found again
+        if self.size > KEPT_BYTES:  # what is needed again is found again
             self.clear()
             known = self.number
         new = [w for w in words if w not in known]
         if new:
             ids, counts = vocabulary.encode_words(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(counts) - counts)
-            self.counts = np.append(self.counts, counts)
-            self.ids = np.append(self.ids, ids)
+            first = len(known)
+            known.update(zip(new, range(first, first + len(new))))
+            self.starts = _put(self.starts, first, self.used + np.cumsum(counts) - counts)
+            self.counts = _put(self.counts, first, counts)
+            self.ids = _put(self.ids, self.used, ids)
+            self.used += len(ids)
+            # A word in its dictionary takes some 120 bytes and its characters.
+            self.size += 120 * len(new) + 2 * sum(map(len, new)) + 4 * len(ids)
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """The array with values from a place on, twice as long if they don't fit."""
+    end = at + len(values)
+    if end > len(array):
+        array = np.concatenate((array[:at], np.zeros(max(end, 2 * at) - at, dtype=array.dtype)))
+    array[at:end] = values
+    return array
+
+
 def _words(parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words with their leading spaces, and the number of them in each text.
 

@@ -15,8 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempolane.llm.files import Committed, read_range
-from tempolane.llm.sentencepieces import BATCH_BYTES, KEPT_WORDS, Kept, _slices
+from tempolane.llm.files import MOST_TASKS, Committed, read_range
+from tempolane.llm.sentencepieces import BATCH_BYTES, KEPT_BYTES, Kept, _slices
 from tempolane.sources.shared import settled
 
 SHARD_TOKENS = 4_000_000
@@ -37,7 +37,7 @@ class Library:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept, self.parts = Kept(), {}
+        self.kept, self.parts, self.size = Kept(), {}, 0
         # How a byte-level BPE cuts words, and writes bytes as characters.
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -49,11 +49,13 @@ class Library:
             # The model is the library's; words are cut here once, not by each call.
             shown = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
             ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            self.size += 200 + 2 * len(part) + 40 * len(ids)
         return ids
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.parts) > KEPT_WORDS:
+        if self.size > KEPT_BYTES:
             self.parts.clear()
+            self.size = 0
         cut, part = self.cut, self._part
         flat: list[int] = []
         counts = np.zeros(len(words), dtype=np.int64)
@@ -191,5 +193,7 @@ def _scan(spark: SparkSession, folder: str, manifest: DataFrame | None, with_ids
                     ["key", "start", "n_tokens", last.split()[0]],
                 )
 
-    spread = listed.select("shard", "start").repartition("shard")
+    # A shard for a task, in order of their places, whatever the listing's size in bytes.
+    tasks = min(MOST_TASKS, max(1, listed.count()))
+    spread = listed.select("shard", "start").repartitionByRange(tasks, "start", "shard")
     return spread.mapInArrow(run, f"key long, start long, n_tokens long, {last}")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempolane.llm.files import Committed, store
+from tempolane.llm.files import MOST_TASKS, Committed, slots, store
 from tempolane.llm.text import text_of
 from tempolane.sources.shared import new_path, settled
 
@@ -102,8 +102,10 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, fi
     # payloads are shuffled once.
     rows = rows.unionByName(refers, allowMissingColumns=True)
     rows = rows.withColumn("shard", _shard_of(spark, bounds)(F.coalesce("page_id", F.lit(LOWEST))))
-    rows = rows.select("shard", "page_id", "digest", "refers", "url", "html")
-    rows = rows.repartition(2 * len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", F.col("digest").asc_nulls_last(), "url", "html")
+    tasks = min(MOST_TASKS, len(bounds) + 1)
+    rows = rows.withColumn("slot", _slot_of(spark, slots(spark, tasks))("shard"))
+    # A shard for a task: hashes of the numbers of shards would put several into one.
+    rows = rows.repartition(tasks, "slot").select("shard", "page_id", "digest", "refers", "url", "html").sortWithinPartitions("shard", "page_id", F.col("digest").asc_nulls_last(), "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, shard, nth, last, known = None, None, 0, None, {}
@@ -172,6 +174,17 @@ def _shard_of(spark: SparkSession, bounds: list[int]):
     return find
 
 
+def _slot_of(spark: SparkSession, numbers: list[int]):
+    """The number that stands for the task of a shard."""
+    sent = spark.sparkContext.broadcast(np.array(numbers, dtype=np.int32))
+
+    @F.pandas_udf("int")
+    def find(shards: pd.Series) -> pd.Series:
+        return pd.Series(sent.value[shards.to_numpy() % len(sent.value)])
+
+    return find
+
+
 def parse_record(data: io.BufferedIOBase) -> tuple[dict[str, str], bytes] | None:
     """Next record of an uncompressed stream: headers (lower-cased names) and block."""
     line = data.readline()
@@ -217,7 +230,8 @@ def read_warc(spark: SparkSession, folder: str, manifest: DataFrame | None = Non
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return listed.select("file").repartition("file").mapInArrow(run, FOUND)
+    tasks = min(MOST_TASKS, max(1, listed.count()))
+    return listed.select("file").repartitionByRange(tasks, "file").mapInArrow(run, FOUND)
 
 
 def _key(text: str) -> int | None:
