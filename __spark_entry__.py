@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable
 from functools import partial
 
@@ -290,12 +291,16 @@ FIXED = dataclasses.replace(SMALL, hidden=2)
 FIXED_WEIGHTS = [((37 * k) % 101 - 50) / 100 for k in range(52)]
 
 
-def _fixed_model(spark):
-    return spark.range(1).select(
+SOFT = dataclasses.replace(FIXED, activation="SOFTSIGN")
+
+
+def _fixed_model(spark, cfg: ForecastConfig | None = None):
+    model = spark.range(1).select(
         F.lit(FIXED_WEIGHTS).alias("params"),
         F.lit(list(HOURLY.values)).alias("inputs"),
         F.lit(list(HOURLY.targets)).alias("targets"),
     )
+    return model if cfg is None else model.withColumns({"config": F.lit(cfg.to_json()), "updater": F.col("params")})
 
 
 def _rounded(rows, digits=4):
@@ -326,6 +331,52 @@ def _aligned_fixed(spark, d):
     return _rounded(score.aligned_fit(events_hourly(spark, d), _fixed_model(spark), HOURLY, FIXED))
 
 
+def _score_saved_fixed(spark, d):
+    # Saved, and scored by a job that takes the configuration from the model.
+    path = new_path(spark, "saved")
+    store.save_model(_fixed_model(spark, SOFT), path)
+    done = forecast_job(events_hourly(spark, d), HOURLY, None, new_path(spark, "job"), model_path=path, run_id="7")
+    return _rounded(done.check)
+
+
+# More steps than the window has rows, so that predictions follow from predictions alone.
+AHEAD = 11
+
+
+def _recursive_fixed(spark, d):
+    return _rounded(score.recursive_forecast(events_hourly(spark, d), _fixed_model(spark), HOURLY, FIXED, AHEAD), 3)
+
+
+def _recursive_forecast(spark, d):
+    models = _models(spark, d)
+    return heads.to_long(score.recursive_forecast(events_hourly(spark, d), models, HOURLY, TRAINED, AHEAD), HOURLY)
+
+
+def _damaged_csv(spark, d):
+    """Daily sums as text, of which some are no numbers."""
+    day = F.dayofmonth("day")
+    date = F.date_format("day", "yyyy-MM-dd")
+    total = F.when(day == 13, F.concat(F.lit("n/a "), date)).otherwise(F.col("total").cast("string"))
+    cnt = F.when(day.isin(13, 21), F.concat(date, F.lit("x"))).when(day == 17, "").otherwise(F.col("cnt").cast("string"))
+    path = new_path(spark, "csv")
+    rows = orders_daily(spark, d).orderBy("day").select(total.alias("total"), cnt.alias("cnt"))
+    rows.write.option("header", True).csv(path)
+    return series.read_series_leniently(spark, path)
+
+
+def _lenient_rows(spark, d):
+    found = _damaged_csv(spark, d).rows
+    return position.with_position(found, series.series_spec(found)).select("pos", "total", "cnt")
+
+
+def _lenient_rejects(spark, d):
+    return _damaged_csv(spark, d).rejects.select("field", "text")
+
+
+def _validate_steps(spark, d):
+    return plan.validate(events_user(spark, d), USER, dataclasses.replace(MIXED, steps=8))
+
+
 # Training that takes no steps: its log is the loss of the initial weights.
 STILL = dataclasses.replace(FIXED, epochs=1, learning_rate=0.0)
 
@@ -335,6 +386,42 @@ def _training_loss(spark, d):
     return train.training_stats(models, "1").select("sid", "epoch", "n_windows", F.round("loss", 6).alias("loss"))
 
 
+def _saved_cells(spark, d):
+    """Everything of saved models, cell by cell."""
+    path = new_path(spark, "saved")
+    store.save_model(train.train_per_series(events_hourly(spark, d), HOURLY, STILL), path, save_updater=True)
+    saved = store.load_model(spark, path)
+    lists = {"params": "params", "updater": "updater", "loss": "history.loss", **{c: f"scaler.{c}" for c in ("f_min", "f_max", "l_min", "l_max")}}
+    texts = {"config": F.col("config"), "inputs": F.array_join("inputs", ","), "targets": F.array_join("targets", ",")}
+    found = [
+        saved.select("sid", F.lit(n).alias("part"), F.posexplode(c).alias("at", "value"))
+        .select("sid", "part", F.col("at").cast("bigint").alias("at"), (F.round("value", 6) + 0.0).alias("value"), F.lit(None).cast("string").alias("text"))
+        for n, c in lists.items()
+    ]
+    found += [
+        saved.select("sid", F.lit(n).alias("part"), F.lit(0).cast("bigint").alias("at"), F.lit(None).cast("double").alias("value"), c.alias("text"))
+        for n, c in texts.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+# One mini-batch of training, so that an epoch is a step, and the rest for testing.
+STEPPED = dataclasses.replace(FIXED, test_ratio=0.995, learning_rate=0.05)
+
+
+def _fitted(updater, spark, d):
+    """Weights and the updater's state after one step and after two."""
+    hourly, found = events_hourly(spark, d), []
+    for epochs in (1, 2):
+        models = train.train_per_series(hourly, HOURLY, dataclasses.replace(STEPPED, updater=updater, epochs=epochs))
+        cells = models.select("sid", "updater", F.posexplode("params").alias("at", "w"))
+        memory = F.get("updater", F.col("at"))
+        found.append(cells.select(
+            "sid", F.lit(epochs).alias("epochs"), F.col("at").cast("bigint").alias("at"),
+            (F.round("w", 5) + 0.0).alias("weight"), (F.round(memory, 5) + 0.0).alias("memory")))
+    return found[0].unionByName(found[1])
+
+
 def _training_loss_pooled(spark, d):
     stats = train.train_pooled(events_hourly(spark, d), HOURLY, STILL, rounds_per_epoch=2).stats
     n = F.sum("n_windows")
@@ -390,6 +477,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "save_load_model": _save_load_model,
         "score_saved_model": _score_saved_model,
         "forecast_job": _forecast_job,
+        "fit_nesterovs": partial(_fitted, "NESTEROVS"),
+        "fit_rmsprop": partial(_fitted, "RMSPROP"),
+        "fit_adagrad": partial(_fitted, "ADAGRAD"),
+        "recursive_forecast": _recursive_forecast,
+        "recursive_forecast_fixed": _recursive_fixed,
+        "score_saved_fixed": _score_saved_fixed,
+        "saved_model_cells": _saved_cells,
+        "read_lenient_rows": _lenient_rows,
+        "read_lenient_rejects": _lenient_rejects,
+        "validate_steps": _validate_steps,
         "training_loss": _training_loss,
         "training_loss_pooled": _training_loss_pooled,
         "score_windows_fixed": _score_windows_fixed,
@@ -461,8 +558,8 @@ SELECT e.sid, c.variable, min(c.value) AS min, max(c.value) AS max
 FROM examples e JOIN cells c ON c.sid = e.sid AND c.pos {shift} GROUP BY 1, 2"""
 
 
-def _scaled_sql() -> str:
-    return f"""WITH {_HOURLY_SQL}, {_plan_sql('hourly_pos', SMALL)}, {_cells_sql('hourly_pos', HOURLY.values)},
+def _scaled_sql(cfg: ForecastConfig = SMALL) -> str:
+    return f"""WITH {_HOURLY_SQL}, {_plan_sql('hourly_pos', cfg)}, {_cells_sql('hourly_pos', HOURLY.values)},
 placed AS (SELECT c.*, c.pos - p.lost AS rel, p.train_size FROM cells c JOIN plan p ON c.sid = p.sid
   WHERE c.pos >= p.lost AND p.n_test > 1),
 bounds AS (
@@ -499,9 +596,10 @@ FROM (SELECT pos, variable AS target, value FROM cells) a
 FULL JOIN (SELECT pos, target, "check", forecast FROM c FULL JOIN f USING (pos, target)) p USING (pos, target)"""
 
 
-def _cell_sql(source: str, w: list[float]) -> str:
+def _cell_sql(source: str, w: list[float], soft: bool = False) -> str:
     """One step of the network with weights `w`: from `source` with the inputs
     x0, x1 and the state h0, h1, c0, c1 to the next state."""
+    act = (lambda x: f"({x}) / (1 + abs({x}))") if soft else (lambda x: f"tanh({x})")
     w_in, w_state, peep, bias = w[0:16], w[16:32], w[32:38], w[38:46]
 
     def z(gate: int, j: int) -> str:
@@ -511,23 +609,23 @@ def _cell_sql(source: str, w: list[float]) -> str:
 
     gates = ", ".join(
         f"1 / (1 + exp(-({z(0, j)} + {peep[j]} * c{j}))) AS i{j}, "
-        f"1 / (1 + exp(-({z(1, j)} + {peep[2 + j]} * c{j}))) AS f{j}, tanh({z(2, j)}) AS g{j}, {z(3, j)} AS zo{j}"
+        f"1 / (1 + exp(-({z(1, j)} + {peep[2 + j]} * c{j}))) AS f{j}, {act(z(2, j))} AS g{j}, {z(3, j)} AS zo{j}"
         for j in range(2)
     )
     cells = ", ".join(f"f{j} * c{j} + i{j} * g{j} AS n{j}" for j in range(2))
-    hidden = ", ".join(f"tanh(n{j}) / (1 + exp(-(zo{j} + {peep[4 + j]} * n{j}))) AS h{j}" for j in range(2))
+    hidden = ", ".join(f"{act(f'n{j}')} / (1 + exp(-(zo{j} + {peep[4 + j]} * n{j}))) AS h{j}" for j in range(2))
     return f"""SELECT * EXCLUDE (h0, h1, c0, c1, n0, n1, i0, i1, f0, f1, g0, g1, zo0, zo1, x0, x1), {hidden}, n0 AS c0, n1 AS c1
   FROM (SELECT *, {cells} FROM (SELECT *, {gates} FROM ({source})))"""
 
 
-def _network_sql(start: str, pos: str, last: str, w: list[float] = FIXED_WEIGHTS) -> str:
+def _network_sql(start: str, pos: str, last: str, w: list[float] = FIXED_WEIGHTS, soft: bool = False) -> str:
     """CTE `outputs` (columns of `start`, t, target, value): the network run over
     the rows at `pos` for t = 0..last - 1."""
     out = w[46:]
     y = [f"{out[4 + k]} + {out[k]} * h0 + {out[2 + k]} * h1" for k in range(2)]
     step = _cell_sql(
         f"SELECT r.* REPLACE (r.t + 1 AS t), u.x0, u.x1 FROM run r JOIN unit u ON u.sid = r.sid AND u.pos = {pos} WHERE r.t < {last}",
-        w,
+        w, soft,
     )
     return f"""{_scaled_sql().replace('WITH', 'WITH RECURSIVE', 1)},
 unit AS (
@@ -563,12 +661,123 @@ errors AS (SELECT o.sid, o.i, power((o.value - p.value) / (b.hi - b.lo), 2) AS e
   JOIN bounds b ON b.sid = o.sid AND b.variable = o.target AND b.role = 'label' WHERE o.t = 7)"""
 
 
-def _heads_fixed_sql(warm: bool) -> str:
+def _recursive_sql(steps: int, w: list[float] = FIXED_WEIGHTS) -> str:
+    """CTE `ahead`: each step runs a window of 8 rows, of which those after the last
+    one are predictions that the state of the query carries along."""
+    out = w[46:]
+    y = [f"({out[4 + k]} + {out[k]} * h0 + {out[2 + k]} * h1)" for k in range(2)]
+    row = "r.n - 8 + r.t // 8 + r.t % 8"
+    ring = lambda k: f"CASE WHEN {row} < r.n THEN u.x{k} ELSE r.m{k}[{row} - r.n + 1] END AS x{k}"
+    zero = ", ".join(f"CASE WHEN r.t % 8 = 0 THEN 0 ELSE r.{c} END AS {c}" for c in ("h0", "h1", "c0", "c1"))
+    source = f"""SELECT r.sid, r.n, r.t + 1 AS t, r.m0, r.m1, r.v0, r.v1, r.l0, r.u0, r.l1, r.u1, r.a0, r.b0, r.a1, r.b1, {zero}, {ring(0)}, {ring(1)}
+  FROM run r LEFT JOIN unit u ON u.sid = r.sid AND u.pos = {row} WHERE r.t < {8 * steps}"""
+    value = [f"({y[k]} * (u{k} - l{k}) + l{k})" for k in range(2)]
+    kept = ", ".join(
+        f"CASE WHEN t % 8 = 0 THEN list_append(m{k}, ({value[k]} - a{k}) / (b{k} - a{k})) ELSE m{k} END AS m{k}, "
+        f"CASE WHEN t % 8 = 0 THEN {value[k]} ELSE v{k} END AS v{k}" for k in range(2))
+    bound = lambda role, v, side: f"max({side}) FILTER (role = '{role}' AND variable = '{v}')"
+    bounds = ", ".join(
+        f"{bound('label', v, 'lo')} AS l{k}, {bound('label', v, 'hi')} AS u{k}, {bound('feature', v, 'lo')} AS a{k}, {bound('feature', v, 'hi')} AS b{k}"
+        for k, v in enumerate(HOURLY.values))
+    return f"""{_scaled_sql().replace('WITH', 'WITH RECURSIVE', 1)},
+unit AS (
+  SELECT p.sid, p.pos, max((p.value - b.lo) / (b.hi - b.lo)) FILTER (p.variable = 'total') AS x0,
+         max((p.value - b.lo) / (b.hi - b.lo)) FILTER (p.variable = 'cnt') AS x1
+  FROM placed p JOIN bounds b ON p.sid = b.sid AND p.variable = b.variable WHERE b.role = 'feature' GROUP BY 1, 2),
+wide AS (SELECT sid, {bounds} FROM bounds GROUP BY sid),
+run AS (
+  SELECT w.sid, p.n, CAST(0 AS BIGINT) AS t, CAST([] AS DOUBLE[]) AS m0, CAST([] AS DOUBLE[]) AS m1, CAST(0 AS DOUBLE) AS v0, CAST(0 AS DOUBLE) AS v1,
+    l0, u0, l1, u1, a0, b0, a1, b1, CAST(0 AS DOUBLE) AS h0, CAST(0 AS DOUBLE) AS h1, CAST(0 AS DOUBLE) AS c0, CAST(0 AS DOUBLE) AS c1
+  FROM wide w JOIN plan p ON p.sid = w.sid
+  UNION ALL
+  SELECT sid, n, t, m0, m1, v0, v1, l0, u0, l1, u1, a0, b0, a1, b1, h0, h1, c0, c1
+  FROM (SELECT * REPLACE ({kept}) FROM ({_cell_sql(source, w)}))),
+ahead AS (SELECT sid, CAST(t // 8 AS INTEGER) AS step, n + t // 8 - 1 AS pos, v0, v1 FROM run WHERE t > 0 AND t % 8 = 0)
+SELECT sid, step, pos, 'total' AS target, round(v0, 3) AS value FROM ahead
+UNION ALL SELECT sid, step, pos, 'cnt', round(v1, 3) FROM ahead"""
+
+
+def _gradient_sql(epoch: int) -> str:
+    """CTE `grad`: derivatives of the loss by each weight of `theta`, by central
+    differences: the network runs with each weight a little up and a little down."""
+    step = _cell_sql(
+        f"SELECT r.* REPLACE (r.t + 1 AS t), u.x0, u.x1 FROM run{epoch} r JOIN unit u ON u.sid = r.sid AND u.pos = r.i + r.t WHERE r.t < 8",
+        [f"w[{k + 1}]" for k in range(52)],
+    )
+    y = [f"(w[{51 + k}] + w[{47 + k}] * h0 + w[{49 + k}] * h1)" for k in range(2)]
+    return f"""
+run{epoch} AS (
+  SELECT t.sid, h.pos AS i, j, s, list_transform(t.w, lambda v, k: v + CASE WHEN k = j THEN s * 1e-5 ELSE 0 END) AS w, 0 AS t,
+    CAST(0 AS DOUBLE) AS h0, CAST(0 AS DOUBLE) AS h1, CAST(0 AS DOUBLE) AS c0, CAST(0 AS DOUBLE) AS c1
+  FROM theta{epoch} t JOIN plan p ON p.sid = t.sid JOIN hourly_pos h ON h.sid = t.sid AND h.pos >= p.lost AND h.pos < p.lost + p.train_size
+  CROSS JOIN (SELECT unnest(range(1, 53)) AS j) CROSS JOIN (SELECT unnest([1, -1]) AS s)
+  UNION ALL
+  {step}),
+grad{epoch} AS (
+  SELECT sid, j, (max(loss) FILTER (s = 1) - max(loss) FILTER (s = -1)) / 2e-5 AS g
+  FROM (SELECT r.sid, r.j, r.s, avg((power({y[0]} - l.y0, 2) + power({y[1]} - l.y1, 2)) / 2) AS loss
+        FROM run{epoch} r JOIN goal l ON l.sid = r.sid AND l.pos = r.i + 8 WHERE r.t = 8 GROUP BY 1, 2, 3)
+  GROUP BY sid, j)"""
+
+
+def _fitted_sql(updater: str) -> str:
+    cfg = dataclasses.replace(STEPPED, updater=updater)
+    weights = [float(v) for v in cell.net_for(cfg, 2, 2).initial(cfg.seed)]
+    listed = lambda values: "[" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + "]"
+    rate = cfg.learning_rate
+    memory = {
+        "NESTEROVS": f"{cfg.momentum} * m - {rate} * g",
+        "RMSPROP": f"{cfg.rms_decay} * m + (1 - {cfg.rms_decay}) * g * g",
+        "ADAGRAD": "m + g * g",
+    }[updater]
+    weight = {
+        "NESTEROVS": f"w + (1 + {cfg.momentum}) * n - {cfg.momentum} * m",
+        "RMSPROP": f"w - {rate} * g / (sqrt(n) + {cfg.rms_epsilon})",
+        "ADAGRAD": f"w - {rate} * g / (sqrt(n) + {cfg.adagrad_epsilon})",
+    }[updater]
+    parts = []
+    for epoch in (0, 1):
+        parts.append(_gradient_sql(epoch))
+        parts.append(f"""
+theta{epoch + 1} AS (SELECT sid, list({weight} ORDER BY j) AS w, list(n ORDER BY j) AS m
+  FROM (SELECT *, {memory} AS n FROM (SELECT g.sid, g.j, g.g, t.w[g.j] AS w, t.m[g.j] AS m FROM grad{epoch} g JOIN theta{epoch} t ON t.sid = g.sid))
+  GROUP BY sid)""")
+    rows = " UNION ALL ".join(
+        f"SELECT sid, {e} AS epochs, CAST(j - 1 AS BIGINT) AS at, round(w[j], 5) + 0.0 AS weight, round(m[j], 5) + 0.0 AS memory "
+        f"FROM theta{e}, (SELECT unnest(range(1, 53)) AS j)" for e in (1, 2))
+    scaled = lambda role, k: f"""max((p.value - b.lo) / (b.hi - b.lo)) FILTER (b.role = '{role}' AND p.variable = '{HOURLY.values[k]}')"""
+    return f"""{_scaled_sql(cfg).replace('WITH', 'WITH RECURSIVE', 1)},
+unit AS (SELECT p.sid, p.pos, {scaled('feature', 0)} AS x0, {scaled('feature', 1)} AS x1
+  FROM placed p JOIN bounds b ON p.sid = b.sid AND p.variable = b.variable GROUP BY 1, 2),
+goal AS (SELECT p.sid, p.pos, {scaled('label', 0)} AS y0, {scaled('label', 1)} AS y1
+  FROM placed p JOIN bounds b ON p.sid = b.sid AND p.variable = b.variable GROUP BY 1, 2),
+theta0 AS (SELECT sid, {listed(weights)} AS w, {listed([0.0] * len(weights))} AS m FROM plan),
+{", ".join(parts)}
+{rows}"""
+
+
+def _cells_of_models_sql() -> str:
+    weights = [float(v) for v in cell.net_for(STILL, 2, 2).initial(STILL.seed)]
+    listed = lambda values: "[" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + "]"
+    numbers = lambda part, values: f"""SELECT sid, '{part}' AS part, CAST(i - 1 AS BIGINT) AS at, round({listed(values)}[i], 6) + 0.0 AS value, CAST(NULL AS VARCHAR) AS text
+FROM series, (SELECT unnest(range(1, {len(values) + 1})) AS i)"""
+    texts = {"config": STILL.to_json(), "inputs": "total,cnt", "targets": "total,cnt"}
+    said = " UNION ALL ".join(f"SELECT sid, '{n}', 0, NULL, '{t}' FROM series" for n, t in texts.items())
+    sides = " UNION ALL ".join(
+        f"SELECT sid, '{role[0]}_{name}', CASE WHEN variable = 'total' THEN 0 ELSE 1 END, round({side}, 6), NULL FROM bounds WHERE role = '{role}'"
+        for role in ("feature", "label") for name, side in (("min", "lo"), ("max", "hi")))
+    return f"""{_loss_sql()}, series AS (SELECT DISTINCT sid FROM errors)
+{numbers('params', weights)} UNION ALL {numbers('updater', [0.0] * len(weights))}
+UNION ALL SELECT sid, 'loss', 0, round(avg(error), 6), NULL FROM errors GROUP BY sid
+UNION ALL {sides} UNION ALL {said}"""
+
+
+def _heads_fixed_sql(warm: bool, soft: bool = False) -> str:
     """CTE `steps` with batch, i, step of each test head. Window and mini-batch
     are equally long here, so that heads follow each other without a gap."""
     first = "lost" if warm else "lost + train_size"
     start = f"SELECT sid, {first} AS first, lost + train_size AS test, n_test, n_batches, 0 AS t FROM plan WHERE n_test > 1"
-    return f"""{_network_sql(start, "r.first + r.t", "r.n_batches * 8 - (r.first - (r.test - (r.n_batches - r.n_test) * 8))")},
+    return f"""{_network_sql(start, "r.first + r.t", "r.n_batches * 8 - (r.first - (r.test - (r.n_batches - r.n_test) * 8))", soft=soft)},
 steps AS (SELECT sid, (first + t - test) // 8 AS batch, test + (first + t - test) // 8 * 8 AS i,
   CAST((first + t - test) % 8 AS INTEGER) AS step, first + t + 1 AS pos, target, round(value, 4) AS value,
   (first + t - test) // 8 = n_test - 1 AS newest FROM outputs WHERE first + t >= test)"""
@@ -641,6 +850,18 @@ SELECT sid, i, i + 8 AS pos, target, round(value, 4) AS value FROM outputs WHERE
         "check_fit_fixed": f"{_heads_fixed_sql(True)} {fixed_check}",
         "check_fit_fixed_long": f"{_heads_fixed_sql(True)} {fixed_check}",
         "check_fit_fixed_cold": f"{_heads_fixed_sql(False)} {fixed_check}",
+        "score_saved_fixed": f"{_heads_fixed_sql(True, soft=True)} {fixed_check}",
+        **{f"fit_{u.lower()}": _fitted_sql(u) for u in ("NESTEROVS", "RMSPROP", "ADAGRAD")},
+        "recursive_forecast_fixed": _recursive_sql(AHEAD),
+        "saved_model_cells": _cells_of_models_sql(),
+        "read_lenient_rows": f"""WITH {_DAILY_SQL} SELECT row_number() OVER (ORDER BY day) - 1 AS pos, total, cnt
+FROM daily WHERE day(day) NOT IN (13, 17, 21)""",
+        "read_lenient_rejects": f"""WITH {_DAILY_SQL} SELECT 'total' AS field, 'n/a ' || strftime(day, '%Y-%m-%d') AS text FROM daily WHERE day(day) = 13
+UNION ALL SELECT 'cnt', strftime(day, '%Y-%m-%d') || 'x' FROM daily WHERE day(day) IN (13, 21)
+UNION ALL SELECT 'cnt', '' FROM daily WHERE day(day) = 17""",
+        "validate_steps": f"""WITH {_plan_sql('(SELECT user_id AS sid FROM events)', MIXED)}
+SELECT sid, CASE WHEN n_test <= 1 THEN 'too few test batches: raise test_ratio or lower batch'
+  ELSE 'steps must be smaller than window' END AS error FROM plan""",
         "forecast_fixed": f"""{_heads_fixed_sql(True)}
 SELECT sid, i, step, pos, target, value FROM steps WHERE newest AND step BETWEEN 1 AND 5""",
         "write_check": f"""{check_sql}

@@ -15,7 +15,7 @@ from tempolane.plans.score import score_heads
 from tempolane.plans.train import train_per_series, train_pooled, training_stats
 from tempolane.sources.series import write_check, write_forecast
 from tempolane.sources.shared import new_path, settled
-from tempolane.sources.store import load_model, model_config, save_model
+from tempolane.sources.store import load_model, load_ranges, model_config, save_model
 
 
 class JobResult(NamedTuple):
@@ -63,16 +63,19 @@ def forecast_job(
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4().hex[:8]}"
     if cfg is None and not model_path:
         raise ValueError("training needs a configuration")
+    ranges = None
     if model_path:
         models = load_model(spark, model_path)
+        if not refit_scaler and not all(k in models.columns for k in spec.keys):
+            ranges = load_ranges(spark, model_path)
         cfg = cfg or model_config(models)
     else:
         if pooled:
-            models, stats = train_pooled(df, spec, cfg, rounds_per_epoch, on_error, model_name or None)
+            models, stats, ranges = train_pooled(df, spec, cfg, rounds_per_epoch, on_error, model_name or None)
         else:
             models, stats = train_per_series(df, spec, cfg, on_error, model_name or None), None
         if model_name:
-            save_model(models, f"{output}/{model_name}")
+            save_model(models, f"{output}/{model_name}", ranges=ranges)
             models = load_model(spark, f"{output}/{model_name}")
         else:
             models = settled(models, new_path(spark, "models"))
@@ -80,7 +83,7 @@ def forecast_job(
         found.write.mode("append").parquet(f"{output}/stats/run_id={run_id}")
     # Scored once; check and forecast are two cuts of the same heads.
     heads = settled(
-        score_heads(df, models, spec, cfg, warm, on_error, refit_scaler), new_path(spark, "heads")
+        score_heads(df, models, spec, cfg, warm, on_error, refit_scaler, ranges=ranges), new_path(spark, "heads")
     )
     check = slice_steps(heads, spec, cfg, "check")
     forecast = slice_steps(heads, spec, cfg, "forecast")

@@ -79,10 +79,10 @@ def _model_parameters(models: DataFrame, spec: SeriesSpec, cfg: ForecastConfig)
     return list(rows[0]["params"])
 
 
-def _stored_scalers(models: DataFrame, spec: SeriesSpec) -> DataFrame:
-    if not all(k in models.columns for k in spec.keys):
-        raise ValueError("a model for all series stores no ranges: use refit_scaler=True")
-    return unpack_scalers(models, spec)
+def _stored_scalers(models: DataFrame, spec: SeriesSpec, ranges: DataFrame | None) -> DataFrame:
+    if ranges is None and not all(k in models.columns for k in spec.keys):
+        raise ValueError("a model for all series needs the ranges that were stored with it, or refit_scaler=True")
+    return unpack_scalers(models if ranges is None else ranges, spec)
 
 
 def _joins(lanes: Lanes, parameters, spec: SeriesSpec, size: int):
@@ -333,15 +333,17 @@ def score_heads(
     on_error: str = "raise",
     refit_scaler: bool = True,
     piece_batches: int = PIECE_BATCHES,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """(keys, batch, i, is_last, yhat) of each test head; `yhat` holds steps
     0..F, one value per target, in the units of the data.
 
     `models` has one row per series, or one row in all. `warm` carries the state
     through the training part first. `refit_scaler=False` scales by the ranges
-    stored with the models instead of those of the current training part."""
+    stored with the models instead of those of the current training part; those of
+    a model for all series are `ranges` (keys, scaler)."""
     parameters = _model_parameters(models, spec, cfg)
-    scalers = None if refit_scaler else _stored_scalers(models, spec)
+    scalers = None if refit_scaler else _stored_scalers(models, spec, ranges)
     lanes, tasks, _ = prepare(df, spec, cfg, on_error, scalers)
 
     def pieced(attach):
@@ -388,11 +390,12 @@ def score_windows(
     on_error: str = "raise",
     refit_scaler: bool = True,
     piece_examples: int = PIECE_EXAMPLES,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """(keys, i, yhat) of every example of a split, each from a fresh state, one
     list per step (or only the last step), one value per target."""
     parameters = _model_parameters(models, spec, cfg)
-    scalers = None if refit_scaler else _stored_scalers(models, spec)
+    scalers = None if refit_scaler else _stored_scalers(models, spec, ranges)
     train = F.col("n_train") * cfg.batch
     every = (F.col("n_train") + F.col("n_test")) * cfg.batch
     if split not in ("train", "test", "all"):
@@ -433,6 +436,80 @@ def forecast(
     return slice_steps(score_heads(df, models, spec, cfg, warm, **options), spec, cfg, "forecast")
 
 
+def _recur_series(
+    cfg: ForecastConfig, net: cell.Net, keys: tuple[str, ...], schema: pa.Schema, steps: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Last windows (keys, n, xs, scaler, params) of many series at once: each step
+    goes through a window from a fresh state, and what it ends with becomes the next
+    row. The windows are a ring, of which the oldest row is written over."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SIDE_BY_SIDE):
+            rows = batch.slice(start, SIDE_BY_SIDE)
+            told = [{c: field(rows.slice(at, 1), c) for c in ("n", "scaler")} for at in range(rows.num_rows)]
+            theta = np.array([_theta(rows.slice(at, 1), keys) for at in range(rows.num_rows)])
+            ring = rows.column("xs").flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, cfg.window, net.inputs).copy()
+            low, high, f_low, f_high = (np.array([t["scaler"][c] for t in told]) for c in ("l_min", "l_max", "f_min", "f_max"))
+            width = np.where(f_high == f_low, np.inf, f_high - f_low)  # a constant column is 0
+            found = np.empty((rows.num_rows, steps, net.outputs))
+            for step in range(steps):
+                order = (np.arange(cfg.window) + step) % cfg.window
+                hs, _ = cell.forward(net, theta, np.ascontiguousarray(ring[:, order].transpose(1, 0, 2)[:, :, None]))
+                y = cell.outputs(net, theta, hs[-1:])[0, :, 0] * (high - low) + low
+                found[:, step] = y
+                ring[:, step % cfg.window] = (y - f_low) / width
+            same = pa.array(np.repeat(np.arange(rows.num_rows), steps))
+            first = np.array([t["n"] for t in told])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[rows.column(k).take(same) for k in keys],
+                    pa.array(np.tile(np.arange(1, steps + 1, dtype=np.int32), rows.num_rows)),
+                    pa.array((first[:, None] + np.arange(steps)).reshape(-1)),
+                    *[pa.array(found[:, :, k].reshape(-1)) for k in range(net.outputs)],
+                ],
+                schema=schema,
+            )
+
+
+def recursive_forecast(
+    df: DataFrame,
+    models: DataFrame,
+    spec: SeriesSpec,
+    cfg: ForecastConfig,
+    steps: int | None = None,
+    on_error: str = "raise",
+    refit_scaler: bool = True,
+    ranges: DataFrame | None = None,
+) -> DataFrame:
+    """(keys, step, pos, targets): `steps` rows (default `cfg.steps`) after the last
+    one of each series, any number of them. A prediction is the next row's input, so
+    all inputs must be targets. Only the last `window` rows of a series are read
+    into tasks."""
+    if spec.targets != spec.values:
+        raise ValueError("a forecast that feeds itself must predict every input")
+    steps = cfg.steps if steps is None else steps
+    parameters = _model_parameters(models, spec, cfg)
+    scalers = None if refit_scaler else _stored_scalers(models, spec, ranges)
+    lanes, _, _ = prepare(df, spec, cfg, on_error, scalers)
+    first = (F.col("n_train") + F.col("n_test")) * cfg.batch
+    net = cell.net_for(cfg, len(spec.values), len(spec.targets))
+    plain, named = _joins(lanes, parameters, spec, net.size)
+
+    def ends(attach):
+        def work(rows: DataFrame) -> DataFrame:
+            last = rows.where(row_in_plan() >= first).groupBy(*spec.keys)  # `window` rows a series
+            found = last.agg(
+                (F.max("pos") + 1).alias("n"), F.first("scaler").alias("scaler"),
+                F.sort_array(F.collect_list(F.struct("pos", "xs"))).alias("rows"),
+            )
+            return attach(found.select(*spec.keys, "n", "scaler", F.flatten("rows.xs").alias("xs")))
+        return work
+
+    names = ", ".join(["step int", "pos bigint", *[f"`{t}` double" for t in spec.targets]])
+    schema = _schema(df, spec, names)
+    work = functools.partial(_recur_series, cfg, net, spec.keys, to_arrow_schema(schema), steps)
+    return lanes.map(ends(plain), ends(named)).map(lambda rows: rows.mapInArrow(work, schema)).union()
+
+
 def aligned_fit(
     df: DataFrame, models: DataFrame, spec: SeriesSpec, cfg: ForecastConfig, **options
 ) -> DataFrame:

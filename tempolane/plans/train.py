@@ -68,6 +68,7 @@ _WORK = 1 << 18
 class Trained(NamedTuple):
     models: DataFrame
     stats: DataFrame
+    ranges: DataFrame  # (keys, scaler) of each series
 
 
 def _key_schema(df: DataFrame, spec: SeriesSpec) -> list[T.StructField]:
@@ -482,7 +483,7 @@ def train_pooled(
         "shard": F.pmod(F.xxhash64(*place), F.lit(shards)).cast("int"), "turn": F.xxhash64(F.lit("turn"), *place),
         "n_batches": div((F.size("xs") / len(spec.values)).cast("bigint") - cfg.window, cfg.batch),
     })
-    _stored(cut.select("shard", "turn", *place, "n_batches", "xs", "ys"), "shard", ["turn", *place], shards, f"{base}/pieces")
+    _stored(cut.select("shard", "turn", *place, "n_batches", "scaler", "xs", "ys"), "shard", ["turn", *place], shards, f"{base}/pieces")
     sums = spark.read.parquet(f"{base}/pieces").groupBy("shard").agg(F.sum("n_batches")).collect()  # a row a shard
     counts = {r[0]: r[1] for r in sums}
     each = None if rounds_per_epoch else cfg.averaging_frequency
@@ -496,4 +497,5 @@ def train_pooled(
     model = settled(fitted, f"{base}/model").withColumn("scaler", F.lit(None).cast(SCALER))
     stats = spark.read.schema(STATS).parquet(f"{base}/stats") if cfg.epochs else spark.createDataFrame([], STATS)
     bare = SeriesSpec(order=spec.order, values=spec.values, targets=spec.targets)
-    return Trained(_describe(model.select("params", "updater", "scaler", "history"), bare, cfg, model_id), stats)
+    ranges = spark.read.parquet(f"{base}/pieces").where("piece = 0").select(*spec.keys, F.col("scaler").cast(SCALER).alias("scaler"))
+    return Trained(_describe(model.select("params", "updater", "scaler", "history"), bare, cfg, model_id), stats, ranges)

@@ -450,6 +450,69 @@ def test_csv_keeps_line_order_over_splits_and_files(spark, tmp_path):
     assert [r.a for r in got.where("pos = 0").orderBy("_series").collect()] == v[::65, 0].tolist()
 
 
+def test_lines_that_are_no_numbers_are_set_aside(spark, tmp_path):
+    lines = {
+        "a.csv": ["v,w", "1,2", "x,3", "4", "5,6,7", " 7 ,8e1", "9,", "NaN,1e999", "10,11"],
+        "b.csv": ["v,w", "-.5,+12.", "1.5d,0x1", '"13","14"'],
+    }
+    for name, rows in lines.items():
+        (tmp_path / name).write_text("\n".join(rows) + "\n")
+    found = series.read_series_leniently(spark, str(tmp_path))
+    placed = position.with_position(found.rows, series.series_spec(found.rows)).orderBy("pos").collect()
+    assert [(r.v, r.w) for r in placed] == [(1, 2), (7, 80), (10, 11), (-0.5, 12), (13, 14)]
+    rejects = found.rejects.orderBy("_series", "_line", "_row").collect()
+    got = sorted((r._series.rsplit("/", 1)[1], r.field, r.text) for r in rejects if r.field)
+    assert got == [("a.csv", "v", "NaN"), ("a.csv", "v", "x"), ("a.csv", "w", ""), ("a.csv", "w", "1e999"), ("b.csv", "v", "1.5d"), ("b.csv", "w", "0x1")]
+    assert [(r._series.rsplit("/", 1)[1], r.text) for r in rejects if not r.field] == [("a.csv", "4"), ("a.csv", "5,6,7")]
+    order = [r.text for r in rejects if r._series.endswith("a.csv")]
+    assert [order.index(t) for t in ("x", "4", "5,6,7", "", "NaN")] == sorted(order.index(t) for t in ("x", "4", "5,6,7", "", "NaN"))
+    each = series.read_series_leniently(spark, str(tmp_path), one_per_file=True)
+    assert {r._series.rsplit("/", 1)[1]: r["count"] for r in each.rows.groupBy("_series").count().collect()} == {"a.csv": 3, "b.csv": 2}
+
+
+@pytest.mark.parametrize("long_rows", [10_000, 100])
+def test_recursive_forecast_equals_a_loop(spark, models, long_rows):
+    cfg, steps = dataclasses.replace(CFG, long_rows=long_rows), 2 * CFG.window + 3
+    data = spark_frame(spark, LENGTHS).withColumn("b", F.when(F.col("name") == "x", F.lit(3.0)).otherwise(F.col("b")))
+    got = {}
+    for r in score.recursive_forecast(data, models, SPEC, cfg, steps).collect():
+        got.setdefault(r.name, {})[r.step] = (r.pos, r.a, r.b)
+    net = cell.net_for(CFG, 2, 2)
+    for m in models.collect():
+        values = values_of(m.name).copy()
+        if m.name == "x":
+            values[:, 1] = 3.0
+        (x, f_low, f_high), (_, low, high) = scaled(values, CFG)
+        rows = list(np.nan_to_num(x[-CFG.window:]))
+        for step in range(1, steps + 1):
+            hs, _ = cell.forward(net, np.array([m.params]), np.array(rows[-CFG.window:])[:, None, None])
+            y = cell.outputs(net, np.array([m.params]), hs[-1:])[0, 0, 0] * (high - low) + low
+            assert got[m.name][step][0] == len(values) + step - 1
+            np.testing.assert_allclose(got[m.name][step][1:], y, rtol=1e-9, atol=1e-9)
+            width = np.where(f_high == f_low, np.inf, f_high - f_low)
+            rows.append((y - f_low) / width)
+    with pytest.raises(ValueError, match="every input"):
+        score.recursive_forecast(data, models, SeriesSpec(keys="name", order="at", values=("a", "b"), targets="a"), cfg)
+
+
+def test_pooled_models_keep_the_ranges_of_their_series(spark, df, tmp_path):
+    cfg = dataclasses.replace(CFG, epochs=1)
+    out = str(tmp_path / "out")
+    forecast_job(df, SPEC, cfg, out, model_name="m", pooled=True, run_id="1")
+    more = df.withColumn("a", F.col("a") * 10)
+    with pytest.raises(ValueError, match="ranges"):
+        score.score_heads(more, store.load_model(spark, f"{out}/m"), SPEC, cfg, refit_scaler=False)
+    done = forecast_job(more, SPEC, None, out, model_path=f"{out}/m", refit_scaler=False, run_id="2")
+    each = store.load_ranges(spark, f"{out}/m")
+    own = train.train_per_series(df, SPEC, dataclasses.replace(cfg, epochs=0))
+    assert {r.name: r.scaler for r in each.collect()} == {r.name: r.scaler for r in own.collect()}
+    params = store.load_model(spark, f"{out}/m").first().params
+    alike = own.withColumn("params", F.lit(params))
+    want = score.check_fit(more, alike, SPEC, cfg, refit_scaler=False).orderBy("name", "batch", "step").collect()
+    for a, b in zip(done.check.orderBy("name", "batch", "step").collect(), want):
+        np.testing.assert_allclose(a[5:], b[5:], rtol=1e-9)
+
+
 def test_bad_csv_stops_the_job(spark, tmp_path):
     write_csv(tmp_path / "text.csv", [(1.0, 2.0), ("x", 3.0)])
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
