@@ -331,6 +331,23 @@ def test_line_dedup_against_all_pairs(spark):
     assert all(got[d]["n_lines"] == t.count("\n") + 1 for d, t in rows)
 
 
+def test_line_shingles_are_told_apart():
+    lines = ["a", "a\0", "aaaaaaaaaa", "aaaaaaaaaaa", "日本" * 9, "\U0001f600" * 6, "abcdefghijkl"]
+    hashes, counts = linededup.line_shingles(lines)
+    assert counts.tolist() == [1, 1, 1, 2, 9, 3, 3]
+    # Equal only: the a's, and every second one of what repeats.
+    assert len(set(hashes.tolist())) == 2 + 1 + 2 + 2 + 3
+    assert linededup.line_shingles([])[0].size == 0
+
+
+def test_similar_lines_equal_sets():
+    draw = random.Random(4)
+    one = ["".join(draw.choice("ab") for _ in range(draw.randint(1, 40))) for _ in range(400)]
+    two = [x if draw.random() < 0.2 else x[draw.randint(0, 2):] + draw.choice(["", "a", "bb"]) or "x" for x in one]
+    want = [shingle_similarity(x, y) >= 0.8 for x, y in zip(one, two)]
+    assert linededup.similar_lines(one, two, 80.0).tolist() == want and 50 < sum(want) < 390
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (None, 3)]
     got = dict(components.components(spark.createDataFrame(edges, "src long, dst long")).collect())
@@ -452,3 +469,42 @@ def test_pipeline_stages(spark):
     assert {"doc_id", "ids", "decoded"} <= set(rows.columns)
     ids = [r["doc_id"] for r in rows.select("doc_id").collect()]
     assert 0.5 * 1000 < len(ids) < 1500
+
+
+def test_pipeline_stages_on_odd_documents(spark, docs):
+    """Each stage on nulls, empty and long texts, repeats, and on no rows at all."""
+    odd = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), "source", F.char_length("text").cast("long").alias("n_chars"), "size")
+    rows = {name: stage(spark, odd, SF).collect() for name, stage in corpus_pipeline.STAGES}
+    names = odd.columns
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, odd.limit(0), SF)
+        assert empty.count() == 0 and (empty.columns == names or name == "sentencepiece")
+    # Short texts fail the base rule, and long ones of different words don't.
+    assert {r["doc_id"] for r in rows["quality_rules"]} <= {5, 10}
+    # Lines that stand before are gone, and no row is; ids stand before others if null.
+    lines = {r["doc_id"]: r for r in rows["line_dedup"]}
+    assert len(rows["line_dedup"]) == odd.count() and lines[8]["text"] == "" and lines[8]["n_chars"] == 0 and lines[3]["text"] is None
+    assert lines[10]["text"] == "" and lines[5]["n_chars"] > 100_000
+    # One of each group stays: 6 is 2 again, 10 nearly 5; what has no words stays.
+    assert sorted((r["doc_id"] for r in rows["near_duplicates"]), key=str) == [1, 2, 3, 4, 5, 7, 8, 9, None]
+    assert {r["doc_id"] for r in rows["mix_sources"]} <= {r["doc_id"] for r in odd.collect()}
+    assert len(rows["sentencepiece"]) == odd.count() and all(r["ids"][-1] == 2 for r in rows["sentencepiece"])
+
+
+def test_near_duplicates_of_the_pipeline_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    rows = docs.collect()
+
+    def grams(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = [grams(r["text"]) for r in rows]
+    links = [(i, j) for i, a in enumerate(sets) for j in range(i) if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j])]
+    group = components_of(links)
+    stays = {}
+    for i, r in enumerate(rows):
+        key = group.get(i, i)
+        stays[key] = min(stays.get(key, r["doc_id"]), r["doc_id"])
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(stays.values())
