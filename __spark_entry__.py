@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tempolane import ForecastConfig, SeriesSpec
 from tempolane.functions import cell
-from tempolane.operators import heads, overlay, plan, position, scaling, select, windows
+from tempolane.operators import heads, overlay, plan, position, scaling, select, trend, windows
 from tempolane.plans import score, train
 from tempolane.plans.job import forecast_job
 from tempolane.sources import series, store
@@ -373,6 +373,34 @@ def _lenient_rejects(spark, d):
     return _damaged_csv(spark, d).rejects.select("field", "text")
 
 
+PERIOD = 24  # hours of a day
+
+
+def _trend_fit(spark, d):
+    fitted = trend.fit_trend(events_hourly(spark, d), HOURLY, SMALL, PERIOD)
+    values = F.explode(F.array(*[
+        F.struct(F.lit(v).alias("variable"), *[F.get(c, F.lit(at)).alias(c) for c in ("slopes", "levels", "seasons")])
+        for at, v in enumerate(HOURLY.values)])).alias("x")
+    cells = fitted.select("sid", "center", values).select("sid", "center", "x.*")
+    cells = cells.select("sid", "variable", "center", "slopes", "levels", F.posexplode("seasons").alias("phase", "season"))
+    near = lambda c: (F.round(c, 5) + 0.0)
+    return cells.select("sid", "variable", "center", near("slopes").alias("slope"), near("levels").alias("level"), "phase", near("season").alias("season"))
+
+
+def _trend_roundtrip(spark, d):
+    found = trend.remove_trend(events_hourly(spark, d), HOURLY, SMALL, PERIOD)
+    back = trend.restore_trend(found.rows.withColumnRenamed("row", "pos"), found)
+    return back.select("sid", "pos", F.round("total", 2).alias("total"), F.round("cnt", 2).alias("cnt"))
+
+
+def _trend_forecast(spark, d):
+    """Detrended, trained, forecast after the last row, and put back."""
+    found = trend.remove_trend(events_hourly(spark, d), HOURLY, TRAINED, PERIOD)
+    models = settled(train.train_per_series(found.rows, found.spec, TRAINED), new_path(spark, "models"))
+    ahead = score.recursive_forecast(found.rows, models, found.spec, TRAINED, PERIOD)
+    return heads.to_long(trend.restore_trend(ahead, found), HOURLY)
+
+
 def _validate_steps(spark, d):
     return plan.validate(events_user(spark, d), USER, dataclasses.replace(MIXED, steps=8))
 
@@ -487,6 +515,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_lenient_rows": _lenient_rows,
         "read_lenient_rejects": _lenient_rejects,
         "validate_steps": _validate_steps,
+        "trend_fit": _trend_fit,
+        "trend_roundtrip": _trend_roundtrip,
+        "trend_forecast": _trend_forecast,
         "training_loss": _training_loss,
         "training_loss_pooled": _training_loss_pooled,
         "score_windows_fixed": _score_windows_fixed,
@@ -859,6 +890,17 @@ FROM daily WHERE day(day) NOT IN (13, 17, 21)""",
         "read_lenient_rejects": f"""WITH {_DAILY_SQL} SELECT 'total' AS field, 'n/a ' || strftime(day, '%Y-%m-%d') AS text FROM daily WHERE day(day) = 13
 UNION ALL SELECT 'cnt', strftime(day, '%Y-%m-%d') || 'x' FROM daily WHERE day(day) IN (13, 21)
 UNION ALL SELECT 'cnt', '' FROM daily WHERE day(day) = 17""",
+        "trend_roundtrip": f"WITH {_HOURLY_SQL} SELECT sid, pos, total, cnt FROM hourly_pos",
+        "trend_fit": f"""WITH {_HOURLY_SQL}, {_plan_sql('hourly_pos', SMALL)}, {_cells_sql('hourly_pos', HOURLY.values)},
+used AS (SELECT c.sid, c.variable, c.pos, c.value, p.lost + (p.train_size + 7) / 2.0 AS center
+  FROM cells c JOIN plan p ON c.sid = p.sid WHERE c.pos >= p.lost AND c.pos < p.lost + p.train_size + 8 AND p.n_test > 1),
+line AS (SELECT sid, variable, max(center) AS center, regr_slope(value, pos - center) AS slope, avg(value) AS level FROM used GROUP BY 1, 2),
+season AS (SELECT u.sid, u.variable, CAST(u.pos % 24 AS INTEGER) AS phase, avg(u.value - l.level - l.slope * (u.pos - l.center)) AS season
+  FROM used u JOIN line l ON u.sid = l.sid AND u.variable = l.variable GROUP BY 1, 2, 3)
+SELECT l.sid, l.variable, CAST(l.center AS DOUBLE) AS center, round(l.slope, 5) + 0.0 AS slope, round(l.level, 5) + 0.0 AS level,
+  CAST(k.phase AS INTEGER) AS phase, round(coalesce(s.season, 0), 5) + 0.0 AS season
+FROM line l CROSS JOIN (SELECT unnest(range(24)) AS phase) k
+LEFT JOIN season s ON s.sid = l.sid AND s.variable = l.variable AND s.phase = k.phase""",
         "validate_steps": f"""WITH {_plan_sql('(SELECT user_id AS sid FROM events)', MIXED)}
 SELECT sid, CASE WHEN n_test <= 1 THEN 'too few test batches: raise test_ratio or lower batch'
   ELSE 'steps must be smaller than window' END AS error FROM plan""",

@@ -1,9 +1,11 @@
+import dataclasses
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tempolane import ForecastConfig, SeriesSpec
-from tempolane.operators import heads, overlay, plan, position, scaling, select, windows
+from tempolane.operators import heads, overlay, plan, position, scaling, select, trend, windows
 from tempolane.sources import series
 from tests.series_data import SPEC, frame, plan as plan_of, scaled, spark_frame
 
@@ -181,6 +183,32 @@ def test_constant_column_scales_to_zero(spark):
     assert found.agg(F.min("scaled"), F.max("scaled"), F.min("restored")).first() == (0.0, 0.0, 4.0)
 
 
+@pytest.mark.parametrize("period", [1, 7])
+def test_trend_and_season_are_taken_out_and_put_back(spark, period):
+    lengths = {"x": 90, "y": 141, "flat": 95}
+    df = spark_frame(spark, lengths).withColumn("b", F.when(F.col("name") == "flat", 2.0).otherwise(F.col("b")))
+    found = {n: trend.remove_trend(df, SPEC, dataclasses.replace(CFG, long_rows=n), period) for n in (10_000, 30)}
+    rows = {n: f.rows.orderBy("name", "row").toPandas() for n, f in found.items()}
+    np.testing.assert_allclose(rows[30][["a", "b"]], rows[10_000][["a", "b"]], atol=1e-9)
+    for n, f in found.items():
+        back = trend.restore_trend(f.rows.withColumnRenamed("row", "pos"), f).orderBy("name", "pos").toPandas()
+        want = df.orderBy("name", "at").toPandas()
+        np.testing.assert_allclose(back[["a", "b"]], want[["a", "b"]], atol=1e-9)
+    for name, n in lengths.items():
+        lost, n_train, _ = plan_of(n, CFG)
+        used = np.arange(lost, lost + n_train * CFG.batch + CFG.window)
+        values = df.where(F.col("name") == name).orderBy("at").toPandas()[["a", "b"]].to_numpy()
+        own = rows[10_000].query("name == @name").sort_values("row")[["a", "b"]].to_numpy()
+        for v in range(2):
+            line = np.polyfit(used, values[used, v], 1)
+            left = values[:, v] - np.polyval(line, np.arange(n))
+            if period > 1:
+                left -= np.array([left[used[used % period == k]].mean() for k in range(period)])[np.arange(n) % period]
+            np.testing.assert_allclose(own[:, v], left, atol=1e-7)
+    with pytest.raises(ValueError, match="period"):
+        trend.fit_trend(df, SPEC, CFG, 0)
+
+
 def test_row_count_law(spark):
     # Counts known for 1461 rows under the default settings and 25 steps.
     df = spark_frame(spark, {"x": 1461})
