@@ -37,7 +37,7 @@ LEAST = 100
 TOP = 2000
 SLICE_BYTES = 4 << 20
 HELD_WORDS = 400_000  # different words a task counts before it sends them
-HELD_GRAMS = 3_000_000  # n-grams a task counts before it sends them
+HELD_GRAMS = 1_500_000  # n-grams a task counts before it sends them
 SENT_WORDS = 64 << 20
 SENT_GRAMS = 4_000_000
 BLOCK_WORDS = 2_000_000  # words of the corpus a block of quotients
