@@ -387,14 +387,14 @@ def _stretch(count: int, number: int, rounds: int, each: int | None) -> range:
 
 
 def _fit_shards(
-    cfg: ForecastConfig, net: cell.Net, base: str, counts: dict[int, int], rounds: int, each: int | None, schema: pa.Schema,
-    batches: Iterator[pa.RecordBatch],
+    cfg: ForecastConfig, net: cell.Net, base: str, counts: dict[int, int], rounds: int, each: int | None, tasks: int,
+    schema: pa.Schema, batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
-    """A barrier task: trains every `tasks`-th shard. The first task stores the state
-    after each epoch, returns the model in the end, and all go on from the newest
-    state after a loss."""
-    context = BarrierTaskContext.get()
-    tasks, me = len(context.getTaskInfos()), context.partitionId()
+    """A barrier task, or the only one: trains every `tasks`-th shard. The first task
+    stores the state after each epoch, returns the model in the end, and all go on from
+    the newest state after a loss."""
+    context = BarrierTaskContext.get() if tasks > 1 else TaskContext.get()
+    me = context.partitionId()
     for _ in batches:
         pass
     state = f"{base}/state"
@@ -471,7 +471,7 @@ def train_pooled(
     trains `cfg.averaging_frequency` mini-batches, or its share of `rounds_per_epoch`
     rounds; averages are weighted by mini-batches. The result depends on rows and
     configuration only. `tasks` (by default one for `TASK_SHARDS` shards, at most as
-    many as run at once) must fit into the cluster together, as they form a barrier
+    many as run at once) must fit into the cluster together: several form a barrier
     stage, which Spark refuses with dynamic allocation. Runs at once; `models` has one row and
     `stats` one per epoch, round and shard."""
     spark = df.sparkSession
@@ -490,10 +490,10 @@ def train_pooled(
     rounds = rounds_per_epoch or max((-(-n // each) for n in counts.values()), default=0)
     net = cell.net_for(cfg, len(spec.values), len(spec.targets))
     schema = T.StructType.fromDDL(f"params array<double>, updater array<double>, history {HISTORY}")
-    work = functools.partial(_fit_shards, cfg, net, base, counts, rounds, each, _arrow(schema))
     useful = min(spark.sparkContext.defaultParallelism, -(-len(counts) // TASK_SHARDS))
     tasks = max(1, min(tasks or useful, len(counts)))
-    fitted = spark.range(0, tasks, 1, tasks).mapInArrow(work, schema, barrier=True)
+    work = functools.partial(_fit_shards, cfg, net, base, counts, rounds, each, tasks, _arrow(schema))
+    fitted = spark.range(0, tasks, 1, tasks).mapInArrow(work, schema, barrier=tasks > 1)
     model = settled(fitted, f"{base}/model").withColumn("scaler", F.lit(None).cast(SCALER))
     stats = spark.read.schema(STATS).parquet(f"{base}/stats") if cfg.epochs else spark.createDataFrame([], STATS)
     bare = SeriesSpec(order=spec.order, values=spec.values, targets=spec.targets)
