@@ -2,11 +2,12 @@
 
 Lines are lower-cased and trimmed; equal ones are one line, known by two 64-bit hashes.
 A line's signature is the minima and maxima of hashes of all its character shingles
-under several masks. Lines that agree in a pair of them are a bucket. In a bucket a
-line meets the first line of the bucket, the first of those that agree in one more
-minimum, and its next neighbours there in order of all others: a few pairs a line,
-however large the bucket. Where very many agree, as lines of one boilerplate do, many
-more minima order them, so that what tells them apart is among these. The Jaccard
+under several masks. Lines that agree in a pair of them are a bucket. In a bucket of
+few lines all are compared. In a larger one a line first meets the first line of the
+bucket, the first of those that agree in one more minimum, and its next neighbours
+there in order of all others: a few pairs a line, however large the bucket. What is
+then not in one group is joined exactly: lines that share one of their rarest shingles
+are compared, so that no similar pair of a bucket is lost (`rest_groups`). The Jaccard
 similarity of all their character shingles decides. Similar lines are joined by
 distributed union-find; of each component the first place stays, by document and place.
 
@@ -36,8 +37,7 @@ SIMILAR = 0.8
 MASKED = 6  # masks, each of which gives a minimum and a maximum
 NEIGHBOURS = 2
 CROWD = 4096  # lines that are ordered together in one task
-CROWDED = 16  # lines that agree in three minima, from which on more minima order them
-MANY = 16  # masks that these take
+FEW = 16  # lines of a bucket that are all compared with each other
 SENT_BYTES = 32 << 20
 SLICE_BYTES = 2 << 20
 _rng = np.random.default_rng(6)
@@ -45,7 +45,6 @@ _UNIT = _rng.integers(0, 1 << 63, (1 << 16) + 1, dtype=np.uint64) << np.uint64(1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 MASKS = _rng.integers(0, 1 << 32, MASKED, dtype=np.uint32)
-MORE_MASKS = _rng.integers(0, 1 << 32, MANY, dtype=np.uint32)
 MINIMA = [f"{side}{k}" for k in range(MASKED) for side in ("lo", "hi")]
 
 
@@ -109,18 +108,23 @@ def signed(lines: DataFrame) -> DataFrame:
     return lines.select(*kept, "line").mapInArrow(run, schema)
 
 
-def _many(texts: DataFrame) -> DataFrame:
-    """(own, many): the further minima of lines (id, line)."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(id, set): the different hashes of the shingles of lines (id, line)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a, b in _slices(whole.column(1), SLICE_BYTES):
                 part = whole.slice(a, b - a)
-                flat = np.stack(_minima(part.column(1).to_pylist(), MORE_MASKS), axis=1)
-                cuts = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat.reshape(-1)))], ["own", "many"])
+                hashes, counts = line_shingles(part.column(1).to_pylist())
+                line = np.repeat(np.arange(len(counts)), counts)
+                order = np.lexsort((hashes, line))
+                hashes, line = hashes[order], line[order]
+                new = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
+                cuts = np.append(0, np.cumsum(np.bincount(line[new], minlength=len(counts)))).astype(np.int32)
+                sets = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[new].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), sets], ["id", "set"])
 
-    return texts.select("id", "line").mapInArrow(run, "own long, many array<int>")
+    return texts.select("id", "line").mapInArrow(run, "id long, set array<long>")
 
 
 def _measured(df: DataFrame, row_bytes: Column | int) -> DataFrame:
@@ -130,44 +134,106 @@ def _measured(df: DataFrame, row_bytes: Column | int) -> DataFrame:
 
 
 def buckets(signatures: DataFrame) -> DataFrame:
-    """(id, band, next, then, first) of lines (id, minima) that agree with another
-    one in a band: its next minimum, all others, and the first line of the bucket."""
+    """(id, band, next, then, first, size) of lines (id, minima) that agree with another
+    one in a band: its next minimum, all others, and the first line and size of the bucket."""
     spark = signatures.sparkSession
     order = [*MINIMA[0::2], *MINIMA[1::2]]  # so that a mask's own two stand apart
     minimum = lambda k: F.col(order[k % len(order)])
     bands = F.array(*[
         F.struct(F.xxhash64(F.lit(b), minimum(b), minimum(b + MASKED + 1)).alias("band"), minimum(b + 1).alias("next"),
-                 F.array(*[minimum(b + j) for j in range(2, len(order))]).alias("then"), F.lit(b).alias("turn"))
+                 F.array(*[minimum(b + j) for j in range(2, len(order))]).alias("then"))
         for b in range(MASKED)
     ])
     spread = signatures.select("id", F.explode(bands).alias("x")).select("id", "x.*")
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).filter("size > 1")
-    shared = settled(shared.select(F.col("band").alias("k"), "first"), new_path(spark, "buckets"))
-    return spread.join(_measured(shared, 24), F.col("band") == F.col("k")).drop("k")
+    shared = settled(shared.select(F.col("band").alias("k"), "first", "size"), new_path(spark, "buckets"))
+    return spread.join(_measured(shared, 32), F.col("band") == F.col("k")).drop("k")
 
 
-def candidates(met: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): different lines that should be compared, of `buckets` and (id, line)."""
+def _pair(a: Column, b: Column) -> Column:
+    return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).alias("p")
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """(a, b): different lines that should be compared, of `buckets`: all pairs of a
+    bucket of at most `FEW` lines, and a few for each line of larger ones, whose
+    other pairs `rest_groups` finds."""
     spark = met.sparkSession
-    inner = met.groupBy("band", "next").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("inner")).filter("size > 1")
-    inner = settled(inner.select(F.col("band").alias("k"), F.col("next").alias("kn"), "size", "inner"), new_path(spark, "inner"))
-    close = met.join(_measured(inner, 32), (F.col("band") == F.col("k")) & (F.col("next") == F.col("kn")))
-    crowded = settled(close.filter(F.col("size") > CROWDED).select(F.col("id").alias("k")).distinct(), new_path(spark, "crowded"))
-    many = _many(texts.join(_measured(crowded, 16), F.col("id") == F.col("k"), "left_semi"))
-    close = close.join(many, (F.col("id") == F.col("own")) & (F.col("size") > CROWDED), "left")
-    # Each band orders by the minima in a turn of its own.
-    at = 1 + F.col("turn") * (2 * MANY // MASKED)
-    turned = F.concat(F.slice("many", at, F.lit(2 * MANY)), F.slice("many", F.lit(1), at - 1), "then")
-    crowd = F.pmod(F.xxhash64(F.lit(9), "id"), F.ceil(F.col("size") / CROWD)).alias("crowd")
-    close = close.select("id", "band", "next", F.coalesce(turned, "then").alias("then"), "inner", crowd)
+    few = met.filter(F.col("size") <= FEW).groupBy("band").agg(F.collect_list("id").alias("ids"))
+    few = few.select("ids", F.explode("ids").alias("a")).select("a", F.explode("ids").alias("b")).filter("a < b")
+    large = met.filter(F.col("size") > FEW)
+    inner = large.groupBy("band", "next").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("inner")).filter("n > 1")
+    inner = settled(inner.select(F.col("band").alias("k"), F.col("next").alias("kn"), "n", "inner"), new_path(spark, "inner"))
+    close = large.join(_measured(inner, 32), (F.col("band") == F.col("k")) & (F.col("next") == F.col("kn")))
+    crowd = F.pmod(F.xxhash64(F.lit(9), "id"), F.ceil(F.col("n") / CROWD)).alias("crowd")
+    close = close.select("id", "band", "next", "then", "inner", crowd)
     beside = Window.partitionBy("band", "next", "crowd").orderBy("then", "id")
-    pair = lambda a, b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     id_ = F.col("id")
     close = close.select("id", "inner", *[F.lead("id", j).over(beside).alias(f"n{j}") for j in range(1, NEIGHBOURS + 1)])
-    found = met.select(pair(id_, F.col("first")).alias("p")).union(
-        close.select(F.explode(F.array(pair(id_, F.col("inner")), *[pair(id_, F.coalesce(f"n{j}", "id")) for j in range(1, NEIGHBOURS + 1)])).alias("p"))
+    found = large.select(_pair(id_, F.col("first"))).union(
+        close.select(F.explode(F.array(_pair(id_, F.col("inner")), *[_pair(id_, F.coalesce(f"n{j}", "id")) for j in range(1, NEIGHBOURS + 1)])).alias("p"))
     )
-    return found.select("p.a", "p.b").filter("a <> b").distinct()
+    return few.union(found.select("p.a", "p.b").filter("a <> b")).distinct()
+
+
+def _joined(groups: DataFrame, named: DataFrame, found: DataFrame) -> DataFrame:
+    """`groups` after links (src, dst) between lines (id, comp), also of none so far."""
+    spark = groups.sparkSession
+    one, two = (named.select(F.col("id").alias(f"i{k}"), F.col("comp").alias(f"c{k}")) for k in "12")
+    edges = found.join(one, F.col("src") == F.col("i1")).join(two, F.col("dst") == F.col("i2")).select(F.col("c1").alias("src"), F.col("c2").alias("dst"))
+    merged = components(edges).select(F.col("node").alias("m"), F.col("component").alias("to"))
+    merged = _measured(settled(merged, new_path(spark, "merged")), 24)
+    own = groups.join(merged, F.col("component") == F.col("m"), "left").select("node", F.coalesce("to", "component").alias("component"))
+    # A line that was in no group has its own id for one.
+    alone = named.filter("alone").join(merged, F.col("comp") == F.col("m")).select(F.col("id").alias("node"), F.col("to").alias("component"))
+    return settled(own.union(alone), new_path(spark, "groups"))
+
+
+def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """`groups` (node, component) joined by all similar pairs within `buckets` of more
+    than `FEW` lines; the pairs within smaller ones have been compared.
+
+    Only buckets of lines of several groups are left, and only pairs across groups.
+    Similar sets share one of their first shingles in any order, so many as may be
+    missing from the other and one more. In the order taken here those that are in
+    lines of one group come first, as no pair across groups shares them, then rare
+    ones. Lines that share one are compared with the first of them, which joins most
+    groups, and then all that are still in different groups with each other.
+    """
+    spark = met.sparkSession
+    keep = lambda df, name: settled(df, new_path(spark, name))
+
+    def named(lines: DataFrame, groups: DataFrame) -> DataFrame:
+        found = lines.join(_measured(groups, 24), F.col("id") == F.col("node"), "left")
+        return found.select(*lines.columns, F.coalesce("component", "id").alias("comp"), F.col("node").isNull().alias("alone"))
+
+    large = keep(named(met.filter(F.col("size") > FEW).select("id", "band"), groups), "large")
+    mixed = large.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    mixed = keep(mixed.select(F.col("band").alias("k")), "mixed")
+    lines = large.join(_measured(mixed, 16), F.col("band") == F.col("k"), "left_semi")
+    lines = keep(lines.select("id", "comp", "alone").distinct(), "rest")
+    if lines.isEmpty():
+        return groups
+    own = lines.select(F.col("id").alias("k"), "comp")
+    sets = keep(shingle_sets(texts.join(_measured(own.select("k"), 16), F.col("id") == F.col("k"), "left_semi")), "sets")
+    each = sets.join(_measured(own, 24), F.col("id") == F.col("k")).select("id", "comp", F.size("set").alias("n"), F.explode("set").alias("h"))
+    common = each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    common = keep(common.select(F.col("h").alias("k"), "c"), "common")
+    across = each.join(_measured(common, 24), F.col("h") == F.col("k")).groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("s"))
+    # Rounded up: one shingle more costs a comparison, one less a link.
+    first = F.floor(F.col("n") * (100 - round(100 * similar, 6)) / 100 + 1e-6) + 1
+    first = F.greatest(first - (F.col("n") - F.size("s")), F.lit(0)).cast("int")
+    shown = keep(across.select("id", "n", F.explode(F.slice("s", 1, first)).alias("x")).select("id", "n", "x.h"), "shown")
+    least = shown.groupBy("h").agg(F.min("id").alias("least")).select(F.col("h").alias("k"), "least")
+    pairs = shown.join(least, F.col("h") == F.col("k")).select(_pair(F.col("id"), F.col("least"))).select("p.a", "p.b").filter("a <> b").distinct()
+    groups = _joined(groups, lines, keep(links(pairs, texts, similar), "links"))
+    lines = keep(named(lines.select("id"), groups), "rest")
+    now = keep(shown.join(lines.select(F.col("id").alias("k"), "comp"), F.col("id") == F.col("k")).select("id", "n", "h", "comp"), "shown")
+    other = now.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("comp").alias("comp2"))
+    near = 100 * F.least("n", "n2") + 1e-6 >= round(100 * similar, 6) * F.greatest("n", "n2")
+    pairs = now.join(other, (F.col("h") == F.col("h2")) & (F.col("comp") < F.col("comp2")) & near)
+    pairs = keep(pairs.select(_pair(F.col("id"), F.col("id2"))).select("p.a", "p.b").distinct(), "pairs")
+    return _joined(groups, lines, keep(links(pairs, texts, similar), "links"))
 
 
 def links(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -219,8 +285,9 @@ def line_groups(docs: DataFrame, text: str = "text", similar: float = SIMILAR) -
     asked = keep(met.select(F.col("id").alias("k")).distinct(), "asked")
     texts = _lines(docs, text).select("h1", "line").join(_measured(asked, 16), F.col("h1") == F.col("k"), "left_semi")
     texts = keep(texts.groupBy(F.col("h1").alias("id")).agg(F.first("line").alias("line")), "texts")
-    pairs = keep(candidates(met, texts), "pairs")
+    pairs = keep(candidates(met), "pairs")
     groups = keep(components(keep(links(pairs, texts, similar), "links")), "groups")
+    groups = rest_groups(met, texts, groups, similar)
     small = _measured(groups, 24)
     grouped = keep(unique.join(small, F.col("h1") == F.col("node")).select("h1", "h2", "component", "first"), "grouped")
     stays = grouped.groupBy("component").agg(F.min("first").alias("s")).withColumnRenamed("component", "c")

@@ -307,6 +307,31 @@ def test_a_bucket_of_many_families(spark):
     assert sum(hit) >= 0.9 * len(hit) and len(hit) > 1000
 
 
+def test_no_similar_pair_of_a_bucket_is_lost(spark):
+    """Similar lines of one large bucket are joined, whatever else is in it: families
+    that share most of their text, and chains whose ends are not similar."""
+    lines = [x for p in families(1200, seed=8) for x in p]
+    word = random.Random(9)
+    for _ in range(12):
+        line = lines[0][:-20] + "".join(word.choice("qrstuvwxyz") for _ in range(40))
+        for _ in range(8):
+            lines.append(line)
+            line += "".join(word.choice("qrstuvwxyz") for _ in range(9))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    every = linededup.signed(linededup._lines(docs, "text"))
+    met = linededup.buckets(every.select(F.col("doc").alias("id"), *linededup.MINIMA)).collect()
+    bands = {}
+    for r in met:
+        bands.setdefault(r["id"], set()).add(r["band"])
+    assert max(Counter(r["band"] for r in met).values()) > 50 * linededup.FEW
+    beside = [(i, i + 1) for i in range(len(lines) - 1) if i >= 2400 or i % 2 == 0]
+    similar = [(i, j) for i, j in beside if shingle_similarity(lines[i], lines[j]) >= 0.8]
+    want = [(i, j) for i, j in similar if bands.get(i, set()) & bands.get(j, set())]
+    got = stays_of(spark, lines)
+    lost = [(i, j) for i, j in want if i not in got or got[i] != got.get(j)]
+    assert len(want) > 1000 and not lost, (len(lost), len(want))
+
+
 def test_line_dedup_against_all_pairs(spark):
     """The query's rows on whole documents, against brute force by its own links."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id % 1 = 0").select("doc_id", "text").orderBy("doc_id").limit(400)
