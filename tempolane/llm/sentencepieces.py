@@ -12,7 +12,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,9 @@ from tempolane.llm.text import free_name
 MARK = "\u2581"  # stands for a space in the vocabulary
 NONE = np.iinfo(np.int64).max
 BATCH_BYTES = 4 << 20
-# Bytes of words kept with their ids between batches of a worker, and from when on a word is merged alone.
+# Bytes of words kept with their ids between batches of a worker, at most and for pieces, and from when on a word is merged alone.
 KEPT_BYTES = 128 << 20
+KEPT_PIECES = 64 << 20
 LONG_WORD = 512
 
 
@@ -247,10 +248,11 @@ class Pieces:
 class Kept:
     """Words met so far in a worker, with their ids in flat arrays that grow in strides.
 
-    Cleared at `KEPT_BYTES`, so that a text without spaces, whose words are long and
+    Cleared at `most` bytes, so that a text without spaces, whose words are long and
     met once, costs no more than others."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int = KEPT_BYTES) -> None:
+        self.most = most
         self.clear()
 
     def clear(self) -> None:
@@ -262,7 +264,7 @@ class Kept:
 
     def numbers(self, words: list[str], vocabulary: Pieces) -> np.ndarray:
         known = self.number
-        if self.size > KEPT_BYTES:  # what is needed again is found again
+        if self.size > self.most:  # what is needed again is found again
             self.clear()
             known = self.number
         new = [w for w in words if w not in known]
@@ -325,7 +327,18 @@ def pieces(path: str) -> Pieces:
 
 @functools.lru_cache(maxsize=2)
 def _kept(path: str) -> Kept:
-    return Kept()
+    return Kept(KEPT_PIECES)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run`, after which a worker gives Arrow's unused memory back. It waits for its
+    next task, while later stages of the JVM share the executor's memory with it."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
 
 
 def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -373,7 +386,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", decoded: bool = True
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)
 
 
 def digests(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -400,4 +413,4 @@ def digests(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
                     [key, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)

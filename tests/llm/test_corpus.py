@@ -38,6 +38,22 @@ def test_pieces_equal_the_library():
     assert [x.tolist() for x in own.encode(texts)] == own.processor.encode(texts, add_eos=True)
 
 
+def test_a_worker_gives_memory_back_after_a_task():
+    import pyarrow as pa
+
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pa, "default_memory_pool", lambda: pool)
+        assert list(sentencepieces.releasing(lambda rows: (2 * x for x in rows))(iter([1, 2]))) == [2, 4] and calls == [1]
+    kept = sentencepieces._kept(PIECES)
+    assert kept.most < sentencepieces.KEPT_BYTES
+    some = sentencepieces.Kept(1000)
+    for k in range(5):
+        some.numbers([f" word{k}{i}" for i in range(100)], sentencepieces.pieces(PIECES))
+    assert len(some.number) == 100  # cleared each time
+
+
 def test_encode_documents(spark, docs):
     got = sentencepieces.encode(docs, PIECES)
     assert got.columns == ["doc_id", "source", "size", "ids", "decoded"]
