@@ -8,8 +8,10 @@ bucket, the first of those that agree in one more minimum, and its next neighbou
 there in order of all others: a few pairs a line, however large the bucket. What is
 then not in one group is joined exactly: lines that share one of their rarest shingles
 are compared, so that no similar pair of a bucket is lost (`rest_groups`). The Jaccard
-similarity of all their character shingles decides. Similar lines are joined by
-distributed union-find; of each component the first place stays, by document and place.
+similarity of all their character shingles decides; pairs whose parities of shingles
+(`sketched`) differ in more bits than similar sets can are left out before. Similar
+lines are joined by distributed union-find; of each component the first place stays,
+by document and place.
 
 Lines, buckets, joins and the rewriting of texts are column expressions. Signatures and
 similarities are computed over flat numpy arrays in Arrow batches: as expressions they
@@ -20,6 +22,8 @@ beyond, they are joined by a shuffle.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +43,9 @@ NEIGHBOURS = 2
 CROWD = 4096  # lines that are ordered together in one task
 FEW = 16  # lines of a bucket that are all compared with each other
 SENT_BYTES = 32 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10  # of lines, whose arrays of shingles stay in a processor's cache
+SKETCH = [f"s{k}" for k in range(8)]
+ORDER_LINES, ORDER_SHINGLES = 1 << 14, 1 << 17  # lines that shingles are counted in for their order, and how many have a count
 _rng = np.random.default_rng(6)
 _UNIT = _rng.integers(0, 1 << 63, (1 << 16) + 1, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -58,24 +64,37 @@ def _lines(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
 
+def _rolled(values: np.ndarray, size: int) -> np.ndarray:
+    """The polynomial of each `size` consecutive values, by doubling."""
+    power = lambda k: np.uint64(pow(int(_BASE), k, 1 << 64))
+    part, width, found, done = values, 1, None, 0
+    while True:
+        if size & width:
+            # `width` values stand before the `done` ones that are summed up already.
+            found = part if found is None else part[: len(found) - width] * power(done) + found[width:]
+            done += width
+        if done == size:
+            return found
+        part = part[: len(part) - width] * power(width) + part[width:]
+        width *= 2
+
+
 def line_shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, number in each line): the character shingle at each place of each
     line. A shorter line is one shingle, filled up by what is no character."""
     data = [x.encode("utf-16-be", "surrogatepass") for x in lines]
     n = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 2
     width = np.maximum(n, size)
-    flat = np.frombuffer(b"".join(x.ljust(2 * size, b"\0") for x in data), dtype=">u2").astype(np.int32)
+    flat = np.frombuffer(b"".join([x.ljust(2 * size, b"\0") for x in data]), dtype=">u2").astype(np.uint16)
     if not len(flat):
         return np.zeros(0, dtype=np.uint64), n
     starts = np.cumsum(width) - width
-    for i in np.flatnonzero(n < size).tolist():
-        flat[starts[i] + n[i] : starts[i] + size] = 1 << 16
     values = _UNIT[flat]
-    hashes = np.zeros(len(flat) - size + 1, dtype=np.uint64)
-    for k in range(size):
-        hashes *= _BASE
-        hashes += values[k : k + len(hashes)]
-    inside = np.arange(len(hashes)) <= np.repeat(starts + width - size, width)[: len(hashes)]
+    for i in np.flatnonzero(n < size).tolist():
+        values[starts[i] + n[i] : starts[i] + size] = _UNIT[1 << 16]
+    hashes = _rolled(values, size)
+    inside = np.ones(len(hashes), dtype=bool)
+    inside[((starts + width)[:-1, None] - np.arange(1, size)).ravel()] = False  # over the end of a line
     hashes = hashes[inside]
     hashes = (hashes ^ (hashes >> np.uint64(30))) * _MIX
     return hashes ^ (hashes >> np.uint64(31)), width - size + 1
@@ -108,23 +127,104 @@ def signed(lines: DataFrame) -> DataFrame:
     return lines.select(*kept, "line").mapInArrow(run, schema)
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(id, set): the different hashes of the shingles of lines (id, line)."""
+def _sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, line, number in each line): the different shingles, ascending in a line."""
+    hashes, counts = line_shingles(lines)
+    line = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, line))
+    hashes, line = hashes[order], line[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
+    return hashes[new], line[new], np.bincount(line[new], minlength=len(counts))
+
+
+def line_hashes(texts: DataFrame) -> DataFrame:
+    """(id, h): the different hashes of the shingles of lines (id, line)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a, b in _slices(whole.column(1), SLICE_BYTES):
+                part = whole.slice(a, b - a)
+                hashes, line, _ = _sets(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(line)), pa.array(hashes.view(np.int64))], ["id", "h"])
+
+    return texts.select("id", "line").mapInArrow(run, "id long, h long")
+
+
+def first_shingles(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], similar: float) -> DataFrame:
+    """(id, n, place, c, h): so many of the first shingles of lines (id, line) that
+    similar ones share one, in order of c, which is how often `often` (ascending
+    hashes, counts) has them, and hash; n is the number of all."""
+    percent = round(100 * similar, 6)
+    sent = texts.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = sent.value
+        for whole in batches:
+            for a, b in _slices(whole.column(1), SLICE_BYTES):
+                part = whole.slice(a, b - a)
+                hashes, line, n = _sets(part.column(1).to_pylist())
+                c = np.zeros(len(hashes), dtype=np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                    c = np.where(known[at] == hashes, count[at], 0)
+                order = np.lexsort((hashes, c, line))
+                place = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
+                # Rounded up: one shingle more costs a comparison, one less a link.
+                kept = place < (np.floor(n * (100 - percent) / 100 + 1e-6).astype(np.int64) + 1)[line]
+                order, place, line = order[kept], place[kept], line[kept]
+                found = [n[line], place, c[order], hashes[order].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(line)), *map(pa.array, found)], ["id", "n", "place", "c", "h"])
+
+    return texts.select("id", "line").mapInArrow(run, "id long, n long, place long, c long, h long")
+
+
+def sketched(texts: DataFrame) -> DataFrame:
+    """(id, line, n, sketch): lines with the number of their different shingles and the
+    parities of these in 512 cells. Sets that differ in d shingles differ in at most d cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a, b in _slices(whole.column(1), SLICE_BYTES):
                 part = whole.slice(a, b - a)
-                hashes, counts = line_shingles(part.column(1).to_pylist())
-                line = np.repeat(np.arange(len(counts)), counts)
-                order = np.lexsort((hashes, line))
-                hashes, line = hashes[order], line[order]
-                new = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
-                cuts = np.append(0, np.cumsum(np.bincount(line[new], minlength=len(counts)))).astype(np.int32)
-                sets = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[new].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), sets], ["id", "set"])
+                sizes, words = parities(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes), *map(pa.array, words)], ["id", "line", "n", *SKETCH])
 
-    return texts.select("id", "line").mapInArrow(run, "id long, set array<long>")
+    return texts.select("id", "line").mapInArrow(run, "id long, line string, n long, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
+def parities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of different shingles of each line, 8 rows of their parities as words of 64 bits)."""
+    hashes, counts = line_shingles(lines)
+    # A number that sorts by line and hash, of which as many of its first bits as fit.
+    bits = np.uint64(max(1, len(lines)).bit_length())
+    keys = np.repeat(np.arange(len(lines), dtype=np.uint64), counts) << (np.uint64(64) - bits) | hashes >> bits
+    keys.sort()
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+    line = (keys >> (np.uint64(64) - bits)).astype(np.int64)
+    cell = ((keys << bits) >> np.uint64(55)).astype(np.int64)
+    word, bit = line * len(SKETCH) + (cell >> 6), np.uint64(1) << (cell & 63).astype(np.uint64)
+    found = np.zeros(len(lines) * len(SKETCH), dtype=np.uint64)
+    if len(word):
+        new = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        found[word[new]] = np.bitwise_xor.reduceat(bit, new)
+    return np.bincount(line, minlength=len(lines)), np.ascontiguousarray(found.view(np.int64).reshape(-1, len(SKETCH)).T)
+
+
+def _near(similar: float) -> Column:
+    """Whether sets (n, sketch) and (n2, sketch2) may be similar; rounded up."""
+    percent = round(100 * similar, 6)
+    apart = functools.reduce(operator.add, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "2"))) for c in SKETCH])
+    n, n2 = F.col("n"), F.col("n2")
+    sizes = 100 * F.least(n, n2) + 1e-6 >= percent * F.greatest(n, n2)
+    return sizes & ((100 + percent) * apart <= (100 - percent) * (n + n2) + 1e-6)
+
+
+def near_pairs(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Those pairs (a, b) whose lines (id, n, sketch) may be similar."""
+    one = texts.select(F.col("id").alias("x"), "n", *SKETCH)
+    two = texts.select(F.col("id").alias("y"), *[F.col(c).alias(c + "2") for c in ("n", *SKETCH)])
+    met = pairs.join(_measured(one, 240), F.col("a") == F.col("x")).join(_measured(two, 240), F.col("b") == F.col("y"))
+    return settled(met.filter(_near(similar)).select("a", "b"), new_path(pairs.sparkSession, "near"))
 
 
 def _measured(df: DataFrame, row_bytes: Column | int) -> DataFrame:
@@ -197,8 +297,10 @@ def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: fl
     Similar sets share one of their first shingles in any order, so many as may be
     missing from the other and one more. In the order taken here those that are in
     lines of one group come first, as no pair across groups shares them, then rare
-    ones. Lines that share one are compared with the first of them, which joins most
-    groups, and then all that are still in different groups with each other.
+    ones, by counts of groups among some of the lines. Lines that share one are compared
+    with the first of them, which joins most groups, and then all that are still in
+    different groups with each other, if what follows the shingle and the parities of
+    their sets allow for similar ones.
     """
     spark = met.sparkSession
     keep = lambda df, name: settled(df, new_path(spark, name))
@@ -215,23 +317,37 @@ def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: fl
     if lines.isEmpty():
         return groups
     own = lines.select(F.col("id").alias("k"), "comp")
-    sets = keep(shingle_sets(texts.join(_measured(own.select("k"), 16), F.col("id") == F.col("k"), "left_semi")), "sets")
-    each = sets.join(_measured(own, 24), F.col("id") == F.col("k")).select("id", "comp", F.size("set").alias("n"), F.explode("set").alias("h"))
-    common = each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    common = keep(common.select(F.col("h").alias("k"), "c"), "common")
-    across = each.join(_measured(common, 24), F.col("h") == F.col("k")).groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("s"))
-    # Rounded up: one shingle more costs a comparison, one less a link.
-    first = F.floor(F.col("n") * (100 - round(100 * similar, 6)) / 100 + 1e-6) + 1
-    first = F.greatest(first - (F.col("n") - F.size("s")), F.lit(0)).cast("int")
-    shown = keep(across.select("id", "n", F.explode(F.slice("s", 1, first)).alias("x")).select("id", "n", "x.h"), "shown")
-    least = shown.groupBy("h").agg(F.min("id").alias("least")).select(F.col("h").alias("k"), "least")
-    pairs = shown.join(least, F.col("h") == F.col("k")).select(_pair(F.col("id"), F.col("least"))).select("p.a", "p.b").filter("a <> b").distinct()
-    groups = _joined(groups, lines, keep(links(pairs, texts, similar), "links"))
+    texts = keep(texts.join(_measured(own.select("k"), 16), F.col("id") == F.col("k"), "left_semi"), "texts")
+    # The order needs no more than an estimate: no order loses a pair, a bad one costs comparisons.
+    step = max(1, -(-lines.count() // ORDER_LINES))
+    some = line_hashes(texts.filter(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(step)) == 0))
+    some = some.join(_measured(own, 48), F.col("id") == F.col("k")).select("h", "comp").distinct()
+    some = some.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").orderBy(F.desc("c"), "h").limit(ORDER_SHINGLES).toArrow()
+    known, count = (some.column(c).to_numpy().astype(t) for c, t in (("h", np.int64), ("c", np.int64)))
+    order = np.argsort(known.view(np.uint64))
+    shown = keep(first_shingles(texts, (known.view(np.uint64)[order], count[order]), similar), "shown")
+    # Of shingles that the same lines show the first in order stands for all: if one of
+    # them is the first that two lines share, it is this one.
+    ids = F.bit_xor(F.xxhash64("id")).alias("ids")
+    lists = shown.groupBy("h").agg(F.first("c").alias("c"), F.count(F.lit(1)).alias("m"), F.min("id").alias("least"), ids).filter("m > 1")
+    # As numbers without sign, the order within a line.
+    lists = lists.groupBy("m", "least", "ids").agg(F.min(F.struct("c", (F.col("h") < 0).alias("high"), "h")).alias("first"))
+    lists = keep(lists.select(F.col("first.h").alias("k"), "least"), "lists")
+    shown = keep(shown.join(_measured(lists, 48), F.col("h") == F.col("k")).select("id", "n", "place", "h", "least"), "shown")
+    pairs = shown.select(_pair(F.col("id"), F.col("least"))).select("p.a", "p.b").filter("a <> b").distinct()
+    groups = _joined(groups, lines, keep(links(near_pairs(keep(pairs, "pairs"), texts, similar), texts, similar), "links"))
     lines = keep(named(lines.select("id"), groups), "rest")
-    now = keep(shown.join(lines.select(F.col("id").alias("k"), "comp"), F.col("id") == F.col("k")).select("id", "n", "h", "comp"), "shown")
-    other = now.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("comp").alias("comp2"))
-    near = 100 * F.least("n", "n2") + 1e-6 >= round(100 * similar, 6) * F.greatest("n", "n2")
-    pairs = now.join(other, (F.col("h") == F.col("h2")) & (F.col("comp") < F.col("comp2")) & near)
+    now = shown.join(_measured(lines.select(F.col("id").alias("k"), "comp"), 48), F.col("id") == F.col("k")).select("id", "n", "place", "h", "comp")
+    across = now.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    across = keep(across.select(F.col("h").alias("k")), "across")
+    now = now.join(_measured(across, 48), F.col("h") == F.col("k"), "left_semi")
+    now = keep(now.join(_measured(texts.select(F.col("id").alias("k"), *SKETCH), 240), F.col("id") == F.col("k")).drop("k"), "now")
+    other = now.select(*[F.col(c).alias(c + "2") for c in now.columns])
+    # What two sets share from their first common shingle on must be enough.
+    percent = round(100 * similar, 6)
+    left = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    enough = (100 + percent) * left + 1e-6 >= percent * (F.col("n") + F.col("n2"))
+    pairs = now.join(other, (F.col("h") == F.col("h2")) & (F.col("comp") < F.col("comp2")) & enough & _near(similar))
     pairs = keep(pairs.select(_pair(F.col("id"), F.col("id2"))).select("p.a", "p.b").distinct(), "pairs")
     return _joined(groups, lines, keep(links(pairs, texts, similar), "links"))
 
@@ -240,7 +356,7 @@ def links(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataF
     """(src, dst): pairs (a, b) whose lines (id, line) are similar."""
     one = texts.select(F.col("id").alias("x"), F.col("line").alias("one"))
     two = texts.select(F.col("id").alias("y"), F.col("line").alias("two"))
-    both = pairs.join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y")).select("a", "b", "one", "two")
+    both = _measured(pairs, 48).join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y")).select("a", "b", "one", "two")
     percent = round(100 * similar, 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +396,12 @@ def line_groups(docs: DataFrame, text: str = "text", similar: float = SIMILAR) -
     places = every.select("h1", "h2", "doc", "mark", "pos")
     first = F.min(F.struct("doc", "mark", "pos")).alias("first")
     unique = keep(places.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first), "unique")
-    signatures = every.groupBy(F.col("h1").alias("id")).agg(*[F.min(m).alias(m) for m in MINIMA])
+    signatures = keep(every.groupBy(F.col("h1").alias("id")).agg(*[F.min(m).alias(m) for m in MINIMA]), "signatures")
     met = keep(buckets(signatures), "met")
     asked = keep(met.select(F.col("id").alias("k")).distinct(), "asked")
     texts = _lines(docs, text).select("h1", "line").join(_measured(asked, 16), F.col("h1") == F.col("k"), "left_semi")
-    texts = keep(texts.groupBy(F.col("h1").alias("id")).agg(F.first("line").alias("line")), "texts")
-    pairs = keep(candidates(met), "pairs")
+    texts = keep(sketched(texts.groupBy(F.col("h1").alias("id")).agg(F.first("line").alias("line"))), "texts")
+    pairs = near_pairs(keep(candidates(met), "pairs"), texts, similar)
     groups = keep(components(keep(links(pairs, texts, similar), "links")), "groups")
     groups = rest_groups(met, texts, groups, similar)
     small = _measured(groups, 24)

@@ -348,6 +348,51 @@ def test_no_similar_pair_of_a_bucket_is_lost(spark):
     assert len(want) > 1000 and not lost, (len(lost), len(want))
 
 
+def test_lines_that_share_boilerplate_are_not_all_compared(spark, monkeypatch):
+    """1,200 families share their rarest common shingles: comparisons stay in proportion."""
+    compared, links = [], linededup.links
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(linededup, "links", counted)
+    lines = [x for p in families(1200, seed=4) for x in p]
+    got = stays_of(spark, lines)
+    assert sum(compared) <= 10 * len(lines), compared
+    assert sum(2 * i in got and got[2 * i] == got.get(2 * i + 1) for i in range(1200)) >= 0.9 * 1200
+
+
+def test_parities_keep_every_similar_pair(spark):
+    draw = random.Random(21)
+    lines = [x for _, found in kinds_of_lines(draw) for x in found] + ["a", "b", "aaaaaaaaaaaa", "short one"]
+    want = set(similar_pairs(lines))
+    texts = linededup.sketched(spark.createDataFrame(list(enumerate(lines)), "id long, line string"))
+    far = [(i, i + 2) for i in range(len(lines) - 2) if (i, i + 2) not in want]
+    pairs = spark.createDataFrame([*want, *far], "a long, b long")
+    left = {(r["a"], r["b"]) for r in linededup.near_pairs(pairs, texts).collect()}
+    assert len(want) > 100 and want <= left and len(left - want) < 0.1 * len(far)
+    sets = [{x[i : i + 10] for i in range(max(1, len(x) - 9))} for x in lines]
+    assert {r["id"]: r["n"] for r in texts.collect()} == dict(enumerate(map(len, sets)))
+
+
+def test_first_shingles_of_similar_lines_meet(spark):
+    """In any order: with counts of some shingles, and of none."""
+    draw = random.Random(22)
+    lines = [x for _, found in kinds_of_lines(draw) for x in found]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    hashes = np.unique(linededup.line_shingles(lines)[0])[::3]
+    for often in ((hashes, (hashes % np.uint64(5)).astype(np.int64)), (hashes[:0], np.zeros(0, dtype=np.int64))):
+        first = {}
+        for r in linededup.first_shingles(texts, often, 0.8).collect():
+            first.setdefault(r["id"], {})[r["h"]] = (r["c"], r["h"] % (1 << 64), r["place"], r["n"])
+        for i, j in similar_pairs(lines):
+            both = first[i].keys() & first[j].keys()
+            h = min(both, key=lambda h: first[i][h][:2])
+            left = min(first[k][h][3] - first[k][h][2] for k in (i, j))
+            assert 180 * left >= 80 * (first[i][h][3] + first[j][h][3])
+
+
 def test_line_dedup_against_all_pairs(spark):
     """The query's rows on whole documents, against brute force by its own links."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id % 1 = 0").select("doc_id", "text").orderBy("doc_id").limit(400)
