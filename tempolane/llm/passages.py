@@ -293,6 +293,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     coded = settled(coded, new_path(docs.sparkSession, "bags"))
     # The bags of the sample in one task: its size is bounded by `sample` and `BAG`.
     model = coded.repartition(1).sortWithinPartitions("place").mapInArrow(_fit_rows, "model binary").first()
+    if model is None:  # Spark may leave out the task of an empty table
+        return fit(np.zeros((0, WIDTH), dtype=np.float32), np.zeros(0, dtype=np.int64), np.zeros(0))
     return _unpacked(bytes(model["model"]))
 
 
