@@ -44,12 +44,14 @@ class Library:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+        self.space = self.shown[32]
 
     def _part(self, part: str) -> bytes:
         if (ids := self.parts.get(part)) is None:
             # The model is the library's; words are cut here once, not by each call.
-            plain = part.isascii() and part.isalnum()
-            shown = part if plain else part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
+            word = part[part[:1] == " " :]
+            plain = word.isascii() and word.isalnum()
+            shown = (part if word is part else self.space + word) if plain else part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
             # Bytes, which Python's collector has not to look through.
             ids = self.parts[part] = array.array("i", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
             self.size += 200 + 2 * len(part) + len(ids)
@@ -85,19 +87,23 @@ class Library:
         coded = pc.binary_join_element_wise(lead, joined, pa.scalar("", pa.large_string())).dictionary_encode()
         numbers = self.kept.numbers(coded.dictionary.to_pylist(), self)
         at = numbers[coded.indices.to_numpy(zero_copy_only=False)]
-        n = self.kept.counts[at]
-        ends = np.cumsum(n)
-        ids = self.kept.ids[np.repeat(self.kept.starts[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        borders = np.append(0, ends)[np.searchsorted(cut, offsets)]
-        counts = np.diff(borders)
-        result = np.insert(ids, borders[1:], END)
+        # Words are lists of ids, the end one more; the lists of all words, one after the other.
+        kept, words = self.kept, len(self.kept.number)
+        lists = pa.LargeListArray.from_arrays(
+            pa.array(np.append(kept.starts[:words], (kept.used, kept.used + 1))), pa.array(np.append(kept.ids[: kept.used], np.int32(END)))
+        )
+        stops = np.searchsorted(cut, offsets[1:])
+        at = np.insert(at, stops, words)
+        result = lists.take(pa.array(at)).flatten().to_numpy()
+        ends = np.cumsum(np.append(kept.counts[:words], 1)[at])[stops + np.arange(len(stops))]
+        counts = np.diff(np.append(0, ends))
         if whole:
-            pieces = np.split(result, np.cumsum(counts + 1)[:-1])
+            pieces = np.split(result, ends[:-1])
             for i in whole:
                 found = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
                 pieces[i] = np.array([*found, END], dtype=np.int32)
-            result, counts = np.concatenate(pieces), np.array([len(x) - 1 for x in pieces])
-        return result, counts + 1
+            result, counts = np.concatenate(pieces), np.array([len(x) for x in pieces])
+        return result, counts
 
 
 @functools.lru_cache(maxsize=2)

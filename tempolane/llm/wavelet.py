@@ -38,16 +38,17 @@ def dump(tokens: np.ndarray, doc_ids: np.ndarray, doc_null: np.ndarray, lengths:
         return len(packed)
 
     for b in range(bits - 1, -1, -1):
-        one = (x >> b) & 1 != 0
-        plane = np.packbits(one)
-        zeros = len(x) - int(np.count_nonzero(one))
-        start, sizes, ones = at, [], []
-        for i in range(0, len(plane), BLOCK):
-            part = plane[i : i + BLOCK]
-            sizes.append(put(part.tobytes()))
-            ones.append(int(np.count_nonzero(one[i * 8 : (i + BLOCK) * 8])))
+        zeros, start, sizes, ones, low, high = 0, at, [], [], [], []
+        for i in range(0, len(x), BLOCK * 8):  # blocks that stay in a processor's cache
+            part = x[i : i + BLOCK * 8]
+            one = (part & x.dtype.type(1 << b)) != 0
+            sizes.append(put(np.packbits(one).tobytes()))
+            high.append(part.take(np.flatnonzero(one)))
+            low.append(part.take(np.flatnonzero(~one)))
+            ones.append(len(high[-1]))
+            zeros += len(low[-1])
         planes.append({"bit": b, "zeros": zeros, "start": start, "sizes": sizes, "ones": ones})
-        x = np.concatenate([x.take(np.flatnonzero(~one)), x.take(np.flatnonzero(one))])
+        x = np.concatenate([*low, *high]) if low else x
     docs = {"start": at, "sizes": [put(doc_ids.astype("<i8").tobytes()), put(np.packbits(doc_null).tobytes()), put(lengths.astype("<i8").tobytes())]}
     header = json.dumps({"n": len(tokens), "docs": len(lengths), "bits": bits, "planes": planes, "index": docs}).encode()
     return b"".join([MAGIC, struct.pack("<Q", len(header)), header, *body])
@@ -149,13 +150,17 @@ class WaveletFile:
         x = np.zeros(self.n, dtype=kind)
         for plane in range(self.bits - 1, -1, -1):
             p = self.head["planes"][plane]
-            bits = self._plane(plane)
-            one = bits.view(bool)
-            above = bits.astype(kind) << kind(p["bit"])
-            order = np.empty(self.n, dtype=kind)
-            order[np.flatnonzero(~one)] = x[: p["zeros"]]
-            order[np.flatnonzero(one)] = x[p["zeros"] :]
-            x = np.bitwise_or(order, above, out=above)
+            all_ones, value = self._plane(plane).view(bool), kind(1 << p["bit"])
+            order, low, high = np.empty(self.n, dtype=kind), 0, p["zeros"]
+            for i in range(0, self.n, BLOCK * 8):
+                one, part = all_ones[i : i + BLOCK * 8], order[i : i + BLOCK * 8]
+                at = np.flatnonzero(one)
+                part[at] = x[high : high + len(at)] | value
+                high += len(at)
+                at = np.flatnonzero(~one)
+                part[at] = x[low : low + len(at)]
+                low += len(at)
+            x = order
         return x
 
     def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

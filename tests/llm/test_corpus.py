@@ -393,6 +393,21 @@ def test_first_shingles_of_similar_lines_meet(spark):
             assert 180 * left >= 80 * (first[i][h][3] + first[j][h][3])
 
 
+def test_shards_work_in_blocks(monkeypatch):
+    """No pass over the bits of a shard holds an array of all its tokens' places."""
+    largest, flatnonzero = [], np.flatnonzero
+
+    def counted(x):
+        largest.append(len(x))
+        return flatnonzero(x)
+
+    tokens = np.random.default_rng(5).integers(0, 50_000, 3 * 8 * wavelet.BLOCK + 5).astype(np.int32)
+    monkeypatch.setattr(np, "flatnonzero", counted)
+    data = wavelet.dump(tokens, np.arange(2), np.zeros(2, dtype=bool), np.array([5, len(tokens) - 5]))
+    assert (wavelet.WaveletFile(lambda a, n: data[a : a + n]).tokens() == tokens).all()
+    assert max(largest) <= 8 * wavelet.BLOCK
+
+
 def test_line_dedup_against_all_pairs(spark):
     """The query's rows on whole documents, against brute force by its own links."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id % 1 = 0").select("doc_id", "text").orderBy("doc_id").limit(400)
