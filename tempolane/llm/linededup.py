@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempolane.llm.components import components
-from tempolane.llm.sentencepieces import _slices
+from tempolane.llm.sentencepieces import _slices, releasing
 from tempolane.llm.text import free_name
 from tempolane.sources.shared import new_path, settled
 
@@ -124,7 +124,7 @@ def signed(lines: DataFrame) -> DataFrame:
 
     types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
     schema = ", ".join([f"{c} {types[c]}" for c in kept] + [f"{m} int" for m in MINIMA])
-    return lines.select(*kept, "line").mapInArrow(run, schema)
+    return lines.select(*kept, "line").mapInArrow(releasing(run), schema)
 
 
 def _sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,7 +147,7 @@ def line_hashes(texts: DataFrame) -> DataFrame:
                 hashes, line, _ = _sets(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(line)), pa.array(hashes.view(np.int64))], ["id", "h"])
 
-    return texts.select("id", "line").mapInArrow(run, "id long, h long")
+    return texts.select("id", "line").mapInArrow(releasing(run), "id long, h long")
 
 
 def first_shingles(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], similar: float) -> DataFrame:
@@ -175,7 +175,7 @@ def first_shingles(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], simil
                 found = [n[line], place, c[order], hashes[order].view(np.int64)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(line)), *map(pa.array, found)], ["id", "n", "place", "c", "h"])
 
-    return texts.select("id", "line").mapInArrow(run, "id long, n long, place long, c long, h long")
+    return texts.select("id", "line").mapInArrow(releasing(run), "id long, n long, place long, c long, h long")
 
 
 def sketched(texts: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def sketched(texts: DataFrame) -> DataFrame:
                 sizes, words = parities(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes), *map(pa.array, words)], ["id", "line", "n", *SKETCH])
 
-    return texts.select("id", "line").mapInArrow(run, "id long, line string, n long, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("id", "line").mapInArrow(releasing(run), "id long, line string, n long, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def parities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +366,7 @@ def links(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataF
                 close = similar_lines(part.column(2).to_pylist(), part.column(3).to_pylist(), percent)
                 yield part.select(["a", "b"]).filter(pa.array(close)).rename_columns(["src", "dst"])
 
-    return both.mapInArrow(run, "src long, dst long")
+    return both.mapInArrow(releasing(run), "src long, dst long")
 
 
 def similar_lines(one: list[str], two: list[str], percent: float) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempolane.llm.components import components
-from tempolane.llm.sentencepieces import BATCH_BYTES, _slices
+from tempolane.llm.sentencepieces import BATCH_BYTES, _slices, releasing
 from tempolane.sources.shared import new_path, settled
 
 WORDS = 5
@@ -159,7 +159,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
         for keys, _, counts, (one, two) in rows_of(batches):
             yield pa.RecordBatch.from_arrays([keys, pa.array(counts), pa.array(one), pa.array(two)], ["key", "n", "node", "other"])
 
-    light = keep(source.mapInArrow(sizes, "key long, n long, node long, other long"), "sets")
+    light = keep(source.mapInArrow(releasing(sizes), "key long, n long, node long, other long"), "sets")
     nodes = keep(light.filter("n > 0").groupBy("node", "other").agg(F.min("key").alias("id"), F.first("n").alias("n")), "nodes")
 
     def prefixes(batches):
@@ -187,7 +187,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
                 ["token", "node", "shared"],
             )
 
-    tokens = source.mapInArrow(prefixes, "token long, node long, shared long")
+    tokens = source.mapInArrow(releasing(prefixes), "token long, node long, shared long")
     times = F.count(F.lit(1)).over(Window.partitionBy("token"))
     met = tokens.filter("token IS NOT NULL").select("token", "node").withColumn("times", times).filter("times > 1 AND node IS NOT NULL")
     met = met.select("node", F.lit(1).cast("long").alias("shared")).union(tokens.filter("token IS NULL").select("node", "shared"))
@@ -248,7 +248,7 @@ def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) ->
                 ["node", "n", "tokens"],
             )
 
-    found = chosen.mapInArrow(sets, "node long, n long, tokens array<long>")
+    found = chosen.mapInArrow(releasing(sets), "node long, n long, tokens array<long>")
     # Rows of one key may hold other texts than the one that was asked for.
     found = found.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left_semi")
     return found.dropDuplicates(["node"])
@@ -392,7 +392,7 @@ def _searched(cells: DataFrame, percent: int) -> DataFrame:
         if rows:
             yield found()
 
-    return sorted_.mapInArrow(run, "src long, dst long")
+    return sorted_.mapInArrow(releasing(run), "src long, dst long")
 
 
 def group_links(members: DataFrame, percent: float, block: int = BLOCK) -> DataFrame:

@@ -393,6 +393,20 @@ def test_first_shingles_of_similar_lines_meet(spark):
             assert 180 * left >= 80 * (first[i][h][3] + first[j][h][3])
 
 
+def test_workers_of_line_dedup_and_the_join_give_memory_back(spark, docs, monkeypatch):
+    wrapped, releasing = [], sentencepieces.releasing
+
+    def counted(run):
+        wrapped.append(run.__qualname__.split(".")[0])
+        return releasing(run)
+
+    for module in (linededup, ngramjoin):
+        monkeypatch.setattr(module, "releasing", counted)
+    linededup.dedup_lines(docs)
+    ngramjoin.link(docs)
+    assert {"signed", "sketched", "links"} <= set(wrapped) and len(wrapped) > 4
+
+
 def test_shards_work_in_blocks(monkeypatch):
     """No pass over the bits of a shard holds an array of all its tokens' places."""
     largest, flatnonzero = [], np.flatnonzero
