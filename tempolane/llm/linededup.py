@@ -6,8 +6,9 @@ under several masks. Lines that agree in a pair of them are a bucket. In a bucke
 few lines all are compared. In a larger one a line first meets the first line of the
 bucket, the first of those that agree in one more minimum, and its next neighbours
 there in order of all others: a few pairs a line, however large the bucket. What is
-then not in one group is joined exactly: lines that share one of their rarest shingles
-are compared, so that no similar pair of a bucket is lost (`rest_groups`). The Jaccard
+then not in one group is joined exactly, so that no similar pair of a bucket is lost
+(`rest_groups`): in a bucket of at most `CROWD` lines all across groups meet, in a larger
+one those that share one of their rarest shingles. The Jaccard
 similarity of all their character shingles decides; pairs whose parities of shingles
 (`sketched`) differ in more bits than similar sets can are left out before. Similar
 lines are joined by distributed union-find; of each component the first place stays,
@@ -40,11 +41,12 @@ SHINGLE = 10
 SIMILAR = 0.8
 MASKED = 6  # masks, each of which gives a minimum and a maximum
 NEIGHBOURS = 2
-CROWD = 4096  # lines that are ordered together in one task
+CROWD = 4096  # lines that are ordered together in one task, or compared by parities in one bucket
 FEW = 16  # lines of a bucket that are all compared with each other
 SENT_BYTES = 32 << 20
 SLICE_BYTES = 256 << 10  # of lines, whose arrays of shingles stay in a processor's cache
 SKETCH = [f"s{k}" for k in range(8)]
+FINE = [f"f{chr(97 + k)}" for k in range(16)]  # of lines that many others meet
 ORDER_LINES, ORDER_SHINGLES = 1 << 14, 1 << 17  # lines that shingles are counted in for their order, and how many have a count
 _rng = np.random.default_rng(6)
 _UNIT = _rng.integers(0, 1 << 63, (1 << 16) + 1, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -178,22 +180,23 @@ def first_shingles(texts: DataFrame, often: tuple[np.ndarray, np.ndarray], simil
     return texts.select("id", "line").mapInArrow(releasing(run), "id long, n long, place long, c long, h long")
 
 
-def sketched(texts: DataFrame) -> DataFrame:
+def sketched(texts: DataFrame, names: list[str] = SKETCH) -> DataFrame:
     """(id, line, n, sketch): lines with the number of their different shingles and the
-    parities of these in 512 cells. Sets that differ in d shingles differ in at most d cells."""
+    parities of these in 64 cells for each of `names`, a power of two. Sets that differ in
+    d shingles differ in at most d cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a, b in _slices(whole.column(1), SLICE_BYTES):
                 part = whole.slice(a, b - a)
-                sizes, words = parities(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes), *map(pa.array, words)], ["id", "line", "n", *SKETCH])
+                sizes, words = parities(part.column(1).to_pylist(), len(names))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes), *map(pa.array, words)], ["id", "line", "n", *names])
 
-    return texts.select("id", "line").mapInArrow(releasing(run), "id long, line string, n long, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("id", "line").mapInArrow(releasing(run), "id long, line string, n long, " + ", ".join(f"{c} long" for c in names))
 
 
-def parities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of different shingles of each line, 8 rows of their parities as words of 64 bits)."""
+def parities(lines: list[str], words: int = len(SKETCH)) -> tuple[np.ndarray, np.ndarray]:
+    """(number of different shingles of each line, `words` rows of their parities as words of 64 bits)."""
     hashes, counts = line_shingles(lines)
     # A number that sorts by line and hash, of which as many of its first bits as fit.
     bits = np.uint64(max(1, len(lines)).bit_length())
@@ -201,19 +204,19 @@ def parities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     keys.sort()
     keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
     line = (keys >> (np.uint64(64) - bits)).astype(np.int64)
-    cell = ((keys << bits) >> np.uint64(55)).astype(np.int64)
-    word, bit = line * len(SKETCH) + (cell >> 6), np.uint64(1) << (cell & 63).astype(np.uint64)
-    found = np.zeros(len(lines) * len(SKETCH), dtype=np.uint64)
+    cell = ((keys << bits) >> np.uint64(65 - (64 * words).bit_length())).astype(np.int64)
+    word, bit = line * words + (cell >> 6), np.uint64(1) << (cell & 63).astype(np.uint64)
+    found = np.zeros(len(lines) * words, dtype=np.uint64)
     if len(word):
         new = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         found[word[new]] = np.bitwise_xor.reduceat(bit, new)
-    return np.bincount(line, minlength=len(lines)), np.ascontiguousarray(found.view(np.int64).reshape(-1, len(SKETCH)).T)
+    return np.bincount(line, minlength=len(lines)), np.ascontiguousarray(found.view(np.int64).reshape(-1, words).T)
 
 
-def _near(similar: float) -> Column:
+def _near(similar: float, names: list[str] = SKETCH) -> Column:
     """Whether sets (n, sketch) and (n2, sketch2) may be similar; rounded up."""
     percent = round(100 * similar, 6)
-    apart = functools.reduce(operator.add, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "2"))) for c in SKETCH])
+    apart = functools.reduce(operator.add, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "2"))) for c in names])
     n, n2 = F.col("n"), F.col("n2")
     sizes = 100 * F.least(n, n2) + 1e-6 >= percent * F.greatest(n, n2)
     return sizes & ((100 + percent) * apart <= (100 - percent) * (n + n2) + 1e-6)
@@ -289,37 +292,68 @@ def _joined(groups: DataFrame, named: DataFrame, found: DataFrame) -> DataFrame:
     return settled(own.union(alone), new_path(spark, "groups"))
 
 
+def _named(lines: DataFrame, groups: DataFrame) -> DataFrame:
+    """`lines` with the group of each, `comp`; one that is `alone` has its own id for one."""
+    found = lines.join(_measured(groups, 24), F.col("id") == F.col("node"), "left")
+    return found.select(*lines.columns, F.coalesce("component", "id").alias("comp"), F.col("node").isNull().alias("alone"))
+
+
 def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """`groups` (node, component) joined by all similar pairs within `buckets` of more
     than `FEW` lines; the pairs within smaller ones have been compared.
 
-    Only buckets of lines of several groups are left, and only pairs across groups.
-    Similar sets share one of their first shingles in any order, so many as may be
-    missing from the other and one more. In the order taken here those that are in
-    lines of one group come first, as no pair across groups shares them, then rare
-    ones, by counts of groups among some of the lines. Lines that share one are compared
-    with the first of them, which joins most groups, and then all that are still in
-    different groups with each other, if what follows the shingle and the parities of
-    their sets allow for similar ones.
+    Only buckets of lines of several groups are left, and only pairs across groups. In
+    two steps, of which the first joins most groups: the first lines of a bucket's groups
+    meet, then all that are still in different ones, if sizes and parities allow for
+    similar sets. No line meets more than `CROWD` of a bucket so; in larger buckets only
+    those that share one of their rarest shingles meet (`shared_shingles`).
     """
     spark = met.sparkSession
     keep = lambda df, name: settled(df, new_path(spark, name))
-
-    def named(lines: DataFrame, groups: DataFrame) -> DataFrame:
-        found = lines.join(_measured(groups, 24), F.col("id") == F.col("node"), "left")
-        return found.select(*lines.columns, F.coalesce("component", "id").alias("comp"), F.col("node").isNull().alias("alone"))
-
-    large = keep(named(met.filter(F.col("size") > FEW).select("id", "band"), groups), "large")
+    large = keep(_named(met.filter(F.col("size") > FEW).select("id", "band", "size"), groups), "large")
     mixed = large.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
     mixed = keep(mixed.select(F.col("band").alias("k")), "mixed")
-    lines = large.join(_measured(mixed, 16), F.col("band") == F.col("k"), "left_semi")
-    lines = keep(lines.select("id", "comp", "alone").distinct(), "rest")
-    if lines.isEmpty():
+    rest = keep(large.join(_measured(mixed, 16), F.col("band") == F.col("k"), "left_semi"), "rest")
+    if rest.isEmpty():
         return groups
-    own = lines.select(F.col("id").alias("k"), "comp")
+    own = keep(rest.groupBy(F.col("id").alias("k")).agg(F.min("comp").alias("comp"), F.max("size").alias("most")), "own")
+    texts = keep(texts.join(_measured(own.select("k"), 16), F.col("id") == F.col("k"), "left_semi"), "texts")
+    drawn = keep(sketched(texts, FINE).select(F.col("id").alias("k"), "n", *FINE), "drawn")
+    beyond = own.filter(F.col("most") > CROWD).select("k", "comp")
+    shown = None if beyond.isEmpty() else shared_shingles(beyond, texts, similar)
+    for heads in (True, False):
+        rest = rest if heads else keep(_named(rest.select("id", "band", "size"), groups), "rest")
+        lines = rest.filter(F.col("size") <= CROWD)
+        if heads:
+            lines = lines.groupBy("band", "comp").agg(F.min("id").alias("id"))
+        now = keep(lines.join(_measured(drawn, 400), F.col("id") == F.col("k")).select("band", "comp", "id", "n", *FINE), "now")
+        other = now.select(*[F.col(c).alias(c + "2") for c in now.columns])
+        pairs = now.join(other, (F.col("band") == F.col("band2")) & (F.col("comp") < F.col("comp2")) & _near(similar, FINE))
+        pairs = pairs.select(_pair(F.col("id"), F.col("id2"))).select("p.a", "p.b")
+        if shown is not None and heads:
+            least = shown.select(_pair(F.col("id"), F.col("least"))).select("p.a", "p.b").filter("a <> b").distinct()
+            pairs = pairs.union(near_pairs(keep(least, "pairs"), texts, similar))
+        elif shown is not None:
+            pairs = pairs.union(_across(shown, rest, texts, similar))
+        pairs = keep(pairs.distinct(), "pairs")
+        groups = _joined(groups, rest.select("id", "comp", "alone").distinct(), keep(links(pairs, texts, similar), "links"))
+    return groups
+
+
+def shared_shingles(own: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(id, n, place, h, least): the first shingles that lines (k, comp) share, each with
+    the first line that has it.
+
+    Similar sets share one of their first shingles in any order, so many as may be
+    missing from the other and one more. In the order taken here those that are in
+    lines of one group come first, as no pair across groups shares them, then rare
+    ones, by counts of groups among some of the lines.
+    """
+    spark = texts.sparkSession
+    keep = lambda df, name: settled(df, new_path(spark, name))
     texts = keep(texts.join(_measured(own.select("k"), 16), F.col("id") == F.col("k"), "left_semi"), "texts")
     # The order needs no more than an estimate: no order loses a pair, a bad one costs comparisons.
-    step = max(1, -(-lines.count() // ORDER_LINES))
+    step = max(1, -(-own.count() // ORDER_LINES))
     some = line_hashes(texts.filter(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(step)) == 0))
     some = some.join(_measured(own, 48), F.col("id") == F.col("k")).select("h", "comp").distinct()
     some = some.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").orderBy(F.desc("c"), "h").limit(ORDER_SHINGLES).toArrow()
@@ -333,11 +367,16 @@ def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: fl
     # As numbers without sign, the order within a line.
     lists = lists.groupBy("m", "least", "ids").agg(F.min(F.struct("c", (F.col("h") < 0).alias("high"), "h")).alias("first"))
     lists = keep(lists.select(F.col("first.h").alias("k"), "least"), "lists")
-    shown = keep(shown.join(_measured(lists, 48), F.col("h") == F.col("k")).select("id", "n", "place", "h", "least"), "shown")
-    pairs = shown.select(_pair(F.col("id"), F.col("least"))).select("p.a", "p.b").filter("a <> b").distinct()
-    groups = _joined(groups, lines, keep(links(near_pairs(keep(pairs, "pairs"), texts, similar), texts, similar), "links"))
-    lines = keep(named(lines.select("id"), groups), "rest")
-    now = shown.join(_measured(lines.select(F.col("id").alias("k"), "comp"), 48), F.col("id") == F.col("k")).select("id", "n", "place", "h", "comp")
+    return keep(shown.join(_measured(lists, 48), F.col("h") == F.col("k")).select("id", "n", "place", "h", "least"), "shown")
+
+
+def _across(shown: DataFrame, lines: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """(a, b): lines (id, comp) of different groups that share a shingle of `shown`, if
+    what follows it and the parities of their sets allow for similar ones."""
+    spark = shown.sparkSession
+    keep = lambda df, name: settled(df, new_path(spark, name))
+    lines = lines.select(F.col("id").alias("k"), "comp").distinct()
+    now = shown.join(_measured(keep(lines, "own"), 48), F.col("id") == F.col("k")).select("id", "n", "place", "h", "comp")
     across = now.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
     across = keep(across.select(F.col("h").alias("k")), "across")
     now = now.join(_measured(across, 48), F.col("h") == F.col("k"), "left_semi")
@@ -348,8 +387,7 @@ def rest_groups(met: DataFrame, texts: DataFrame, groups: DataFrame, similar: fl
     left = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
     enough = (100 + percent) * left + 1e-6 >= percent * (F.col("n") + F.col("n2"))
     pairs = now.join(other, (F.col("h") == F.col("h2")) & (F.col("comp") < F.col("comp2")) & enough & _near(similar))
-    pairs = keep(pairs.select(_pair(F.col("id"), F.col("id2"))).select("p.a", "p.b").distinct(), "pairs")
-    return _joined(groups, lines, keep(links(pairs, texts, similar), "links"))
+    return pairs.select(_pair(F.col("id"), F.col("id2"))).select("p.a", "p.b")
 
 
 def links(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:

@@ -363,6 +363,23 @@ def test_lines_that_share_boilerplate_are_not_all_compared(spark, monkeypatch):
     assert sum(2 * i in got and got[2 * i] == got.get(2 * i + 1) for i in range(1200)) >= 0.9 * 1200
 
 
+def test_lines_of_a_bucket_meet_once(spark, monkeypatch):
+    """Up to `CROWD` lines of a bucket: a row a line and bucket, not one for each of its
+    shingles. Larger buckets are joined by shingles, with the same groups."""
+    shown, first_shingles = [], linededup.first_shingles
+
+    def counted(texts, *rest):
+        shown.append(texts.count())
+        return first_shingles(texts, *rest)
+
+    monkeypatch.setattr(linededup, "first_shingles", counted)
+    lines = [x for p in families(300, seed=14) for x in p]
+    got = stays_of(spark, lines)
+    assert not shown and sum(got.get(2 * i, -1) == got.get(2 * i + 1, -2) for i in range(300)) >= 270
+    monkeypatch.setattr(linededup, "CROWD", 2 * linededup.FEW)
+    assert stays_of(spark, lines) == got and shown
+
+
 def test_parities_keep_every_similar_pair(spark):
     draw = random.Random(21)
     lines = [x for _, found in kinds_of_lines(draw) for x in found] + ["a", "b", "aaaaaaaaaaaa", "short one"]
