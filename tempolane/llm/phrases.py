@@ -9,6 +9,9 @@ A longer n-gram is counted only where both shorter ones in it are frequent; task
 that from a filter of them, which is sent while it is short (`SENT_GRAMS`). Beyond that
 all are counted, with the same results.
 
+The arrays are cut at their breaks and stored as bytes: whole ones of some MB would pass
+through the memory of an executor in many copies, as rows, columns and batches.
+
 The dictionary is sent to tasks up to `SENT_WORDS` bytes. Beyond, each slice of texts
 sends its different words with their places, joins the dictionary, and is put together
 again.
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempolane.llm.quotient import Packing, QuotientFilter, blocks, merged
-from tempolane.llm.sentencepieces import _slices
+from tempolane.llm.sentencepieces import _slices, releasing
 from tempolane.sources.shared import new_path, settled
 
 # The ends of pieces.
@@ -36,6 +39,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SLICE_BYTES = 4 << 20
+ROW_IDS = 1 << 12  # numbers from which a row of texts is cut at a break
+GATHERED = 1 << 17  # numbers of rows that are counted together
 HELD_WORDS = 400_000  # different words a task counts before it sends them
 HELD_GRAMS = 1_500_000  # n-grams a task counts before it sends them
 SENT_WORDS = 64 << 20
@@ -79,7 +84,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word in bytes, f) of all words."""
-    counted = _source(docs).mapInArrow(_count_words, "lang string, word binary, f long")
+    counted = _source(docs).mapInArrow(releasing(_count_words), "lang string, word binary, f long")
     return counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
@@ -97,7 +102,7 @@ def _numbered(words: DataFrame) -> DataFrame:
             at += n
 
     ranged = words.repartitionByRange("lang", "word").sortWithinPartitions("lang", "word")
-    ranged = settled(ranged.mapInArrow(places, "lang string, word binary, f long, part int, at long"), new_path(spark, "places"))
+    ranged = settled(ranged.mapInArrow(releasing(places), "lang string, word binary, f long, part int, at long"), new_path(spark, "places"))
     parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row a partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
@@ -105,6 +110,9 @@ def _numbered(words: DataFrame) -> DataFrame:
     return rows.select((F.col("start") + F.col("at") + 1).alias("id"), "lang", "word", "f")
 
 
+PIECES = "width int, ids binary"
+
+
 def _ids_sent(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to arrays of numbers, a row a slice, with the dictionary at hand."""
     known = sent.value
@@ -122,10 +130,21 @@ def _ids_sent(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _ids_batch(ids) -> pa.RecordBatch:
+    """Rows (width, ids): the numbers of a slice as bytes, cut at breaks."""
     flat = np.asarray(ids, dtype=np.int64)
     # Of several breaks one is enough.
     flat = flat[np.append(True, (flat[1:] != 0) | (flat[:-1] != 0))[: len(flat)]]
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat))], ["ids"])
+    width = 4 if not len(flat) or flat.max() < 1 << 31 else 8
+    breaks = np.flatnonzero(flat == 0) + 1
+    cuts = [0]
+    while len(flat) - cuts[-1] > ROW_IDS:
+        i = np.searchsorted(breaks, cuts[-1] + ROW_IDS)
+        if i == len(breaks) or breaks[i] == len(flat):
+            break
+        cuts.append(int(breaks[i]))
+    stored = flat.astype(f"<i{width}")
+    rows = [stored[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(flat)])]
+    return pa.RecordBatch.from_arrays([pa.array([width] * len(rows), pa.int32()), pa.array(rows, pa.binary())], ["width", "ids"])
 
 
 def _slice_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +173,7 @@ def _slice_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _ids_joined(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """The same arrays by a join with the dictionary."""
     spark = docs.sparkSession
-    rows = _source(docs).mapInArrow(_slice_words, "slice long, size long, lang string, word binary, places array<int>")
+    rows = _source(docs).mapInArrow(releasing(_slice_words), "slice long, size long, lang string, word binary, places array<int>")
     rows = settled(rows, new_path(spark, "slices"))
     known = frequent.select("id", F.col("lang").alias("l"), F.col("word").alias("w"))
     met = rows.join(known, (F.col("lang") == F.col("l")) & (F.col("word") == F.col("w"))).select("slice", "size", "id", "places")
@@ -172,7 +191,7 @@ def _ids_joined(docs: DataFrame, frequent: DataFrame) -> DataFrame:
         if at is not None:
             yield _ids_batch(flat)
 
-    return met.repartition("slice").sortWithinPartitions("slice").mapInArrow(put, "ids array<long>")
+    return met.repartition("slice").sortWithinPartitions("slice").mapInArrow(releasing(put), PIECES)
 
 
 def _grams(ids: np.ndarray, k: int, shorter: tuple[Packing, QuotientFilter] | None) -> np.ndarray:
@@ -195,6 +214,28 @@ def _grams(ids: np.ndarray, k: int, shorter: tuple[Packing, QuotientFilter] | No
     return np.flatnonzero(fits & need[:-1] & need[1:])
 
 
+def _gathered(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The numbers of several rows each, with breaks between rows."""
+    parts, size = [], 0
+    for width, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+        parts += [np.frombuffer(data.as_buffer(), dtype=f"<i{width}"), np.zeros(1, dtype=np.int32)]
+        size += len(parts[-2])
+        if size >= GATHERED:
+            yield np.concatenate(parts).astype(np.int64)
+            parts, size = [], 0
+    if parts:
+        yield np.concatenate(parts).astype(np.int64)
+
+
+def _whole(held: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Everything that is held as one; nothing is held then, so that parts and the
+    whole don't stand in memory together."""
+    limbs = [np.concatenate(x) for x in zip(*(h[0] for h in held))]
+    counts = np.concatenate([h[1] for h in held])
+    held.clear()
+    return merged(limbs, counts)
+
+
 def _count_grams(k: int, bits: int, prefix: int, sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, filter): what the slices of a task hold, merged."""
     packing = Packing(k, bits)
@@ -204,18 +245,12 @@ def _count_grams(k: int, bits: int, prefix: int, sent, batches: Iterator[pa.Reco
         shorter = before, QuotientFilter.from_bytes(sent.value, before.widths, 0)
     held: list[tuple[list[np.ndarray], np.ndarray]] = []
 
-    def whole():
-        return merged([np.concatenate([h[0][i] for h in held]) for i in range(len(packing.widths))], np.concatenate([h[1] for h in held]))
-
     def send():
-        limbs, counts = whole()
-        rows = list(blocks(packing, prefix, limbs, counts))
-        held.clear()
+        rows = list(blocks(packing, prefix, *_whole(held)))
         yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([f.to_bytes() for _, f in rows], pa.binary())], ["block", "filter"])
 
     for batch in batches:
-        for row in range(batch.num_rows):
-            ids = batch.column(0)[row].values.to_numpy()
+        for ids in _gathered(batch):
             # Stretches of a long text share what lies across their border.
             for a in range(0, len(ids), HELD_GRAMS // 2):
                 part = ids[a : a + HELD_GRAMS // 2 + k - 1]
@@ -224,7 +259,7 @@ def _count_grams(k: int, bits: int, prefix: int, sent, batches: Iterator[pa.Reco
                     limbs = packing.permute(packing.pack(part, at))
                     held.append(merged(limbs, np.ones(len(at), dtype=np.int64)))
                 if sum(len(h[1]) for h in held) > HELD_GRAMS:
-                    held[:] = [whole()]
+                    held.append(_whole(held))
                     if len(held[0][1]) > HELD_GRAMS // 2:
                         yield from send()
     if held:
@@ -236,11 +271,8 @@ def _merge_blocks(k: int, bits: int, prefix: int, least: int, batches: Iterator[
     packing = Packing(k, bits)
     block, held, size = None, [], 0
 
-    def whole():
-        return merged([np.concatenate([h[0][i] for h in held]) for i in range(len(packing.widths))], np.concatenate([h[1] for h in held]))
-
     def done():
-        limbs, counts = whole()
+        limbs, counts = _whole(held)
         often = counts >= least
         ids = packing.unpack(packing.restore([x[often] for x in limbs]))
         cuts = np.arange(0, ids.size + 1, k, dtype=np.int32)
@@ -250,13 +282,13 @@ def _merge_blocks(k: int, bits: int, prefix: int, least: int, batches: Iterator[
         for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             if name != block and held:
                 yield done()
-                held, size = [], 0
+                size = 0
             block = name
             found = QuotientFilter.from_bytes(data.as_py(), packing.widths, prefix)
             held.append((found.limbs, found.counts))
             size += len(found)
             if size > HELD_GRAMS and len(held) > 1:
-                held = [whole()]
+                held.append(_whole(held))
                 size = len(held[0][1])
     if held:
         yield done()
@@ -279,9 +311,9 @@ def _level(pieces: DataFrame, k: int, bits: int, prefix: int, least: int, shorte
     if shorter is not None and shorter.count() <= sent_grams:
         sent = spark.sparkContext.broadcast(_filter_of(shorter, k - 1, bits))
     prefix = min(prefix, Packing(k, bits).widths[0])
-    counted = pieces.mapInArrow(functools.partial(_count_grams, k, bits, prefix, sent), "block int, filter binary")
+    counted = pieces.mapInArrow(releasing(functools.partial(_count_grams, k, bits, prefix, sent)), "block int, filter binary")
     laid = counted.repartition("block").sortWithinPartitions("block")
-    found = laid.mapInArrow(functools.partial(_merge_blocks, k, bits, prefix, least), "ids array<long>, f long")
+    found = laid.mapInArrow(releasing(functools.partial(_merge_blocks, k, bits, prefix, least)), "ids array<long>, f long")
     return settled(found, new_path(spark, "grams"))
 
 
@@ -300,7 +332,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         known: dict[str, dict[bytes, int]] = {}
         for r in frequent.select("lang", "word", "id").toLocalIterator():
             known.setdefault(r["lang"], {})[bytes(r["word"])] = r["id"]
-        pieces = _source(docs).mapInArrow(functools.partial(_ids_sent, spark.sparkContext.broadcast(known)), "ids array<long>")
+        pieces = _source(docs).mapInArrow(releasing(functools.partial(_ids_sent, spark.sparkContext.broadcast(known))), PIECES)
     else:
         pieces = _ids_joined(docs, frequent)
     pieces = settled(pieces, new_path(spark, "pieces"))

@@ -92,12 +92,16 @@ class Packing:
 
 
 def merged(limbs: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted, each value once with the sum of its counts."""
+    """Sorted, each value once with the sum of its counts. The list `limbs` gets the
+    sorted arrays one after the other, so that what was there can go."""
     if not len(counts):
         return limbs, counts
     # Sorted parts stand one behind the other: a stable sort merges them.
     order = np.argsort(limbs[0], kind="stable") if len(limbs) == 1 else np.lexsort(limbs[::-1])
-    limbs, counts = [x[order] for x in limbs], counts[order]
+    for i in range(len(limbs)):
+        limbs[i] = limbs[i][order]
+    counts = counts[order]
+    del order
     new = np.zeros(len(counts), dtype=bool)
     new[0] = True
     for x in limbs:

@@ -108,6 +108,39 @@ def test_small_stretches_and_filters_give_the_same(spark, odd, monkeypatch):
     assert whole[1] == {(1, 2): 120, (2, 3): 50, (2, 1): 69} and whole[60] == {(1, 2): 120, (2, 1): 69}
 
 
+def test_pieces_are_short_rows_of_bytes(monkeypatch):
+    """A task's texts are many rows, cut at breaks only, with the same n-grams."""
+    draw = np.random.default_rng(4)
+    ids = draw.integers(0, 9, 60_000)
+    ids[20_000:40_000] = 7  # no break in it
+    ids[100] = 1 << 40
+    for flat in (ids, ids[200:]):
+        batch = phrases._ids_batch(flat)
+        rows = [np.frombuffer(r["ids"], dtype=f"<i{r['width']}") for r in batch.to_pylist()]
+        assert len(rows) > 5 and all(r[-1] == 0 for r in rows[:-1])
+        assert max(len(r) for r in rows) < 20_000 + 2 * phrases.ROW_IDS and sorted(map(len, rows))[-2] < phrases.ROW_IDS + 200
+        keep = np.append(True, (flat[1:] != 0) | (flat[:-1] != 0))
+        assert (np.concatenate(rows) == flat[keep]).all()
+        monkeypatch.setattr(phrases, "GATHERED", 9000)
+        got = [x for g in phrases._gathered(batch) for x in g[phrases._grams(g, 2, None)].tolist()]
+        assert got == flat[phrases._grams(flat, 2, None)].tolist()
+
+
+def test_parts_go_when_they_are_merged(monkeypatch):
+    """Neither parts nor unsorted numbers stand in memory beside the merged whole."""
+    held = [([np.arange(9, dtype=np.uint64), np.arange(9, dtype=np.uint64)], np.ones(9, dtype=np.int64)) for _ in range(3)]
+    left = []
+
+    def seen(limbs, counts):
+        left.append((len(held), limbs))
+        return merged(limbs, counts)
+
+    monkeypatch.setattr(phrases, "merged", seen)
+    limbs, counts = phrases._whole(held)
+    assert left[0][0] == 0 and counts.tolist() == [3] * 9 and all(x.tolist() == list(range(9)) for x in limbs)
+    assert all(len(x) == 27 and (np.diff(x.astype(int)) >= 0).all() for x in left[0][1])
+
+
 def test_no_frequent_phrases(spark):
     df = spark.createDataFrame([("en", "a b c"), ("en", None)], "lang string, text string")
     assert phrases.collocations(df).count() == 0 == phrases.collocations(df.limit(0)).count()
