@@ -6,16 +6,14 @@
 3. Of candidates all shingles are counted. With rarest first, two partners share a
    shingle of their prefixes; documents that do so, also through others, are a group.
 4. In a group each document asks the inverted lists of those before it for overlaps
-   of at least T (DivideSkip: the longest lists are probed, the others merged by a
-   heap). Groups above `BLOCK` documents go in blocks.
+   of at least T (DivideSkip: the longest lists are not merged, what may reach T with
+   them is looked up). Groups above `BLOCK` documents go in blocks.
 Only links that join two components of a task leave it.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +30,8 @@ PERCENT = 75
 BLOCK = 4096
 LONG = 40  # percent of a set, smallest hashes first, that candidates are found by
 SENT_BYTES = 32 << 20  # keys of candidates that may be sent to all tasks; beyond, a shuffle joins them
+LOOKED_UP = 64  # documents of a cell that are looked up at first; a link spares the rest of its component
+NO_KEY = -(1 << 63)  # sent in place of a null key
 SMALL = 200  # sizes up to which what a prefix must share is computed exactly
 
 _rng = np.random.default_rng(20240501)
@@ -230,10 +230,12 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
 
 def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) -> DataFrame:
     """(node, n, tokens) of the candidates, each node once, by its first row."""
-    one = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).groupBy("node").agg(F.min("key").alias("kk"))
+    one = light.join(wanted.withColumnRenamed("node", "w"), F.col("node") == F.col("w")).groupBy("node").agg(F.coalesce(F.min("key"), F.lit(NO_KEY)).alias("kk"))
     keys = settled(one.select("kk").distinct(), new_path(source.sparkSession, "candidate_keys"))
     sent = F.broadcast(keys) if keys.count() * 16 <= SENT_BYTES else keys
-    chosen = source.join(sent, F.col("key").eqNullSafe(F.col("kk")), "left_semi")
+    # One long a key, as a null-safe join would send three times the bytes. What it
+    # takes for a null key besides goes below, with other texts of a key.
+    chosen = source.join(sent, F.coalesce("key", F.lit(NO_KEY)) == F.col("kk"), "left_semi")
 
     def sets(batches):
         for _, grams, counts, (one, _) in rows_of(batches):
@@ -255,118 +257,93 @@ def _sets_of(source: DataFrame, light: DataFrame, wanted: DataFrame, rows_of) ->
 
 
 class Overlaps:
-    """Inverted lists of documents put in one after another, searched for overlaps."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        self.lists: dict[int, list[int]] = {}
-
-    def add(self, number: int, tokens: list[int]) -> None:
-        for t in tokens:
-            self.lists.setdefault(t, []).append(number)
-
-    def search(self, tokens: list[int], n: int, sizes: list[int]) -> Iterator[int]:
-        """Numbers whose overlap reaches what their size asks for (DivideSkip).
+    """Inverted lists of the documents of a cell, searched for overlaps with those before."""
+
+    def __init__(self, tokens: list[np.ndarray], sizes: np.ndarray, percent: int):
+        self.percent, self.sizes = percent, sizes
+        counts = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.stops = np.append(0, np.cumsum(counts))
+        flat = np.concatenate(tokens) if len(tokens) else np.zeros(0, dtype=np.int64)
+        kinds, self.ids = np.unique(flat, return_inverse=True)
+        doc = np.repeat(np.arange(len(tokens), dtype=np.int32), counts)
+        order = np.argsort(self.ids, kind="stable")
+        self.lists = doc[order]  # documents in order, list behind list
+        self.starts = np.searchsorted(self.ids[order], np.arange(len(kinds)))
+        # How many documents stand in a token's list before the one that holds it.
+        self.before = np.empty(len(flat), dtype=np.int64)
+        self.before[order] = np.arange(len(flat)) - np.repeat(self.starts, np.diff(np.append(self.starts, len(flat))))
+        self.mark = np.zeros(len(kinds), dtype=bool)
+
+    def search(self, i: int, apart: np.ndarray) -> np.ndarray:
+        """Documents before `i`, of another class than its own in `apart`, that may
+        overlap enough, those with most n-grams in common lists first (DivideSkip).
 
         A partner of a set of n holds at least T = percent * n / 100 of it. Of the
         lists, the L longest are not merged: what the others count up to T - L is
-        looked up in the long ones by halving.
+        looked up by `linked`.
         """
-        lists = sorted((x for t in tokens if (x := self.lists.get(t))), key=len)
-        least = int(-(-n * self.percent // 100))
-        if len(lists) < least:
-            return
-        long_ = min(int(least / (0.01 * math.log2(len(lists[-1]) + 1) + 1)), least - 1, len(lists) - 1)
-        short, probed = lists[: len(lists) - long_], lists[len(lists) - long_ :]
-        number, seen = -1, 0
-        for x in (*heapq.merge(*short), None):
-            if x == number:
-                seen += 1
-                continue
-            if number >= 0 and self._reaches(number, seen, n, sizes[number], probed, least):
-                yield number
-            number, seen = x, 1
-
-    def _reaches(self, number: int, seen: int, n: int, size: int, probed: list[list[int]], least: int) -> bool:
-        # 100 * both >= percent * (n + size - both)
-        need = max(least, -(-self.percent * (n + size) // (100 + self.percent)))
-        left = len(probed)
-        for x in probed:
-            if seen >= need or seen + left < need:
-                break
-            left -= 1
-            i = bisect_left(x, number)
-            seen += i < len(x) and x[i] == number
-        return seen >= need
+        own = slice(self.stops[i], self.stops[i + 1])
+        lengths, starts = self.before[own], self.starts[self.ids[own]]
+        held = lengths > 0
+        lengths, starts = lengths[held], starts[held]
+        least = int(-(-self.sizes[i] * self.percent // 100))
+        if len(lengths) < least or not len(lengths):
+            return np.zeros(0, dtype=np.int64)
+        order = np.argsort(lengths, kind="stable")
+        long_ = max(0, min(int(least / (0.01 * math.log2(int(lengths[order[-1]]) + 1) + 1)), least - 1, len(lengths) - 1))
+        short = order[: len(lengths) - long_]
+        lengths, starts = lengths[short], starts[short]
+        ends = np.cumsum(lengths)
+        seen = np.bincount(self.lists[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)])
+        found = np.flatnonzero(seen >= least - long_)
+        need = np.maximum(least, -(-self.percent * (self.sizes[i] + self.sizes[found]) // (100 + self.percent)))
+        found = found[(seen[found] + long_ >= need) & (apart[found] != apart[i])]
+        return found[np.argsort(-seen[found], kind="stable")]
+
+    def linked(self, i: int, found: np.ndarray) -> np.ndarray:
+        """Which of the documents `found` link with `i`."""
+        own = self.ids[self.stops[i] : self.stops[i + 1]]
+        self.mark[own] = True
+        counts = self.stops[found + 1] - self.stops[found]
+        ends = np.cumsum(counts)
+        hits = self.mark[self.ids[np.arange(ends[-1]) + np.repeat(self.stops[found] - ends + counts, counts)]]
+        both = np.add.reduceat(hits, ends - counts, dtype=np.int64)
+        self.mark[own] = False
+        return 100 * both >= self.percent * (self.sizes[i] + self.sizes[found] - both)
 
 
 def cell_links(cell: list[tuple[int, int, list[int], bool]], percent: int) -> list[tuple[int, int]]:
     """Links (node, node) that join components among the documents of a cell.
 
     `cell` has (node, n, tokens rarest first, asks); one that doesn't ask is only
-    found. A document asks only for those that aren't in its component yet: those of
-    a large component stand in lists of their own, which its members don't read.
+    found. A document asks only for those that aren't in its component yet: the first
+    one that links brings the whole component of it.
     """
-    nodes, sizes, root, members = [], [], [], {}
-    rest, large, big = Overlaps(percent), {}, set()
-    held: list[list[int]] = []
+    nodes = [x[0] for x in cell]
+    index = Overlaps([np.asarray(x[2], dtype=np.int64) for x in cell], np.array([x[1] for x in cell], dtype=np.int64), percent)
+    root = np.arange(len(cell))
+    members = [[i] for i in range(len(cell))]
     links: list[tuple[int, int]] = []
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
     def join(i: int, j: int) -> None:
-        a, b = find(i), find(j)
-        if a == b:
-            return
         links.append((nodes[i], nodes[j]))
+        a, b = int(root[i]), int(root[j])
         if len(members[a]) < len(members[b]):
             a, b = b, a
-        root[b] = a
-        members[a] += members.pop(b)
-        if b in big:
-            big.discard(b)
-            large.setdefault(a, []).extend(large.pop(b))
-            big.add(a)
-
-    def close(i: int, j: int) -> bool:
-        both = len(set(held[i]).intersection(held[j]))
-        return 100 * both >= percent * (sizes[i] + sizes[j] - both)
-
-    for node, n, tokens, asks in cell:
-        i = len(nodes)
-        nodes.append(node)
-        sizes.append(n)
-        root.append(i)
-        members[i] = [i]
-        held.append(tokens)
-        if asks:
-            # A large component is mostly joined by its first member that is asked.
-            for c in list(big):
-                if find(i) != c and any(close(i, j) for j in members[c][:4]):
-                    join(i, members[c][0])
-            for index in [rest, *(x for c in list(big) if c != find(i) for x in large[c])]:
-                for j in list(index.search(tokens, n, sizes)):
+        root[members[b]] = a
+        members[a] += members[b]
+        members[b] = []
+
+    for i, (_, _, _, asks) in enumerate(cell):
+        found = index.search(i, root) if asks else ()
+        some = LOOKED_UP
+        while len(found):
+            now, found = found[:some], found[some:]
+            for j in now[index.linked(i, now)].tolist():
+                if root[i] != root[j]:
                     join(i, j)
-        top = find(i)
-        if top in big:
-            large[top][0].add(i, tokens)
-        elif len(members[top]) >= 64:
-            big.add(top)
-            own = set(members[top])
-            large[top] = [Overlaps(percent)]
-            for j in sorted(own):
-                large[top][0].add(j, held[j])
-            rest = Overlaps(percent)
-            apart = {j for c in big for j in members[c]}
-            for j in range(len(nodes)):
-                if j not in apart:
-                    rest.add(j, held[j])
-        else:
-            rest.add(i, tokens)
+            found = found[root[found] != root[i]]
+            some *= 4
     return links
 
 
@@ -383,7 +360,9 @@ def _searched(cells: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], type=pa.int64()) for i in (0, 1)], names)
 
         for batch in batches:
-            for group, cell, asks, node, n, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+            offsets, flat = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+            held = (flat[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+            for group, cell, asks, node, n, tokens in zip(*(c.to_pylist() for c in batch.columns[:5]), held):
                 if (group, cell) != at:
                     if rows:
                         yield found()

@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -534,6 +535,39 @@ def test_cell_links_equal_all_pairs():
     assert len(links) < 500 and classes(links) == classes(want)
 
 
+def test_a_cell_keeps_what_joins_a_large_component():
+    """Each set overlaps with its neighbour only. The third stands before the large
+    component that the second joins it to, and is found by the fourth after another
+    large one: it stood in no list then."""
+    window = lambda k: list(range(k * 12, k * 12 + 100))
+    sets = [window(2), *[window(0)] * 70, window(1), *[list(range(5000, 5100))] * 70, window(3)]
+    links = ngramjoin.cell_links([(i, 100, x, True) for i, x in enumerate(sets)], 75)
+    got = components_of(links)
+    assert len(links) == 142 - 1 and got[143 - 1] == got[0] == got[1] == got[71] != got[72]
+
+
+def test_a_cell_of_many_near_copies_is_searched_fast():
+    """4,000 copies of one text, each with words changed, of which few link with any."""
+    draw = np.random.default_rng(5)
+    base = np.arange(400)
+    cell = [(i, 400, np.where(draw.random(400) < rate, draw.integers(1000, 10**6, 400), base).tolist(), True)
+            for i, rate in enumerate(draw.choice([0.02, 0.3], 4000))]
+    began = time.process_time()
+    links = ngramjoin.cell_links(cell, 75)
+    # By lists in Python these took some minutes.
+    assert time.process_time() - began < 60 and 1800 < len(links) < 2200
+
+
+def test_null_keys_among_candidates(spark):
+    """Keys of candidates are sent as one long each, null as the smallest."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (None, " ".join([*words, "x"])), (ngramjoin.NO_KEY, "other words " * 9), (5, " ".join(words[1:])), (5, None)]
+    got = ngramjoin.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r[0]), r[1], r[2]) for r in got) == sorted(
+        [("None", 56, 5), ("None", 57, 5), (str(ngramjoin.NO_KEY), 2, ngramjoin.NO_KEY), ("5", 55, 5), ("5", 0, 5)])
+
+
+
 def test_url_rules_of_odd_urls(spark):
     urls = ["http://A.Example.NET/en/x", "http://example.net", "ftp://x.net/", "no scheme", None, "", "https://www.cheap-pills.example.com/x", "http://notnet/"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1))
