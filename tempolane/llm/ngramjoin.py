@@ -407,8 +407,9 @@ def _rest_cells(members: DataFrame, links: DataFrame, percent: int, block: int)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     part = F.pmod(F.xxhash64(F.lit("rest"), "node"), F.col("rests")).cast("int")
     both = lambda i, j: F.concat_ws("/", i.cast("string"), j.cast("string"))
-    asked = joined.join(how_many, F.col("group") == F.col("gg")).select(
-        "group", both(F.explode(F.sequence(F.lit(0), F.col("rests") - 1)), own).alias("cell"), F.lit(False).alias("asks"), "node", "n", "tokens")
-    asking = apart.join(how_many, F.col("group") == F.col("gg")).select(
-        "group", both(part, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("cell"), F.lit(True).alias("asks"), "node", "n", "tokens")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asked = joined.join(how_many, F.col("group") == F.col("gg")).withColumn("every", each("rests")).select(
+        "group", both(F.col("every"), own).alias("cell"), F.lit(False).alias("asks"), "node", "n", "tokens")
+    asking = apart.join(how_many, F.col("group") == F.col("gg")).withColumn("every", each("blocks")).select(
+        "group", both(part, F.col("every")).alias("cell"), F.lit(True).alias("asks"), "node", "n", "tokens")
     return _searched(asked.union(asking), percent)

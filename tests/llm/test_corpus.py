@@ -495,6 +495,25 @@ def test_ngram_join_in_blocks(spark, docs):
     assert got[(10, 29_997)] == got[(5, 29_996)] == 5
 
 
+def test_a_group_of_several_blocks(spark):
+    """Blocks of a group whose documents link in several components, against all pairs."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for at in draw.sample(range(60), draw.choice([0, 1, 1, 2, 2, 3, 4])):
+            words[at] = f"x{draw.randrange(12)}"
+        texts.append(" ".join(words))
+    grams = [{" ".join(t.split()[k : k + 5]) for k in range(56)} for t in texts]
+    links = [(i, j) for i in range(150) for j in range(i) if 100 * len(grams[i] & grams[j]) >= 75 * len(grams[i] | grams[j])]
+    want = {i: i for i in range(150)} | components_of(links)
+    assert len(set(want.values())) > 20 and len(want) > len(set(want.values())) + 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (10, 1000):
+        assert {r["doc_id"]: r["component_id"] for r in ngramjoin.link(df, block=block).collect()} == want
+
+
 def test_smallest_links_are_found(spark):
     """Sets of all sizes with the least overlap that links, against brute force."""
     draw = random.Random(21)
